@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from trailgrain.operators import nested
+
+
+def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return nested.flatten_recipes(_table(spark, sf, "pages"))
+
+
+def p5_children(spark: SparkSession, sf: str) -> DataFrame:
+    return nested.flatten_recipes(_table(spark, sf, "pages"), text=True)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in (p5_found, p5_children)}
 
 
 def oracle_sql() -> dict[str, str]:
