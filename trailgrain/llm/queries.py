@@ -6,13 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailgrain.llm import packing, tokenizer
+from trailgrain.llm import encoding, packing, tokenizer
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return encoding.find_garbled(_table(spark, sf, "pages")).select("page_id", "field_name")
+
+
+def p1_restored(spark: SparkSession, sf: str) -> DataFrame:
+    return encoding.find_garbled(_table(spark, sf, "pages"))
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokenizer.encode_column(_table(spark, sf, "documents"))
 
@@ -22,7 +30,7 @@ def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p8_ids, p9_containers)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p8_ids, p9_containers)}
 
 
 def oracle_sql() -> dict[str, str]:
