@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailgrain.llm import encoding, packing, tokenizer
+from trailgrain.llm import boilerplate, encoding, packing, residue, tokenizer
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,6 +21,18 @@ def p1_restored(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.find_garbled(_table(spark, sf, "pages"))
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.find_furniture(_table(spark, sf, "pages"))
+
+
+def p3_main_content(spark: SparkSession, sf: str) -> DataFrame:
+    return boilerplate.main_content(_table(spark, sf, "pages"))
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    return residue.find_residue(_table(spark, sf, "pages"))
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokenizer.encode_column(_table(spark, sf, "documents"))
 
@@ -30,7 +42,7 @@ def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p8_ids, p9_containers)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_main_content, p6_found, p8_ids, p9_containers)}
 
 
 def oracle_sql() -> dict[str, str]:
