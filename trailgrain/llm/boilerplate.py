@@ -161,11 +161,14 @@ class Blocks:
         return verdict
 
     def lines(self, text: str, domain: str | None, chars: int | None) -> list[bool]:
-        """Whether each line of a page is furniture; the last line of a cut text is held against the beginnings of notices too."""
-        text = restored(text)
+        """Whether each line of a page is furniture; a text that is shorter than ``chars`` was cut."""
+        return self.plain_lines(restored(text), domain, chars is not None and chars > len(text))
+
+    def plain_lines(self, text: str, domain: str | None, cut: bool) -> list[bool]:
+        """The same for a restored text; the last line of a cut text is held against the beginnings of notices too."""
         site = _site_name(domain)
         out = [self.furniture(line, site) for line in text.split("\n")]
-        if chars is not None and chars > len(text) and len(out) > 1 and not out[-1]:
+        if cut and len(out) > 1 and not out[-1]:
             out[-1] = self.cut(text[text.rfind("\n") + 1 :], site)
         return out
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailgrain.llm import boilerplate, encoding, packing, residue, tokenizer
+from trailgrain.llm import boilerplate, encoding, language, packing, residue, tokenizer
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,6 +21,18 @@ def p1_restored(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.find_garbled(_table(spark, sf, "pages"))
 
 
+def _languages(spark: SparkSession, sf: str) -> DataFrame:
+    return language.language_rows(_table(spark, sf, "pages"), _table(spark, sf, "leads"), _table(spark, sf, "documents"))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _languages(spark, sf).select("rec_kind", "rec_id", "lang")
+
+
+def p2_languages(spark: SparkSession, sf: str) -> DataFrame:
+    return _languages(spark, sf)
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return boilerplate.find_furniture(_table(spark, sf, "pages"))
 
@@ -42,7 +54,7 @@ def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p3_found, p3_main_content, p6_found, p8_ids, p9_containers)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p3_found, p3_main_content, p6_found, p8_ids, p9_containers)}
 
 
 def oracle_sql() -> dict[str, str]:
