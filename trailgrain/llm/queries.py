@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailgrain.llm import boilerplate, encoding, language, packing, residue, tokenizer
+from trailgrain.llm import boilerplate, encoding, language, neardup, packing, residue, tokenizer
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -41,6 +41,14 @@ def p3_main_content(spark: SparkSession, sf: str) -> DataFrame:
     return boilerplate.main_content(_table(spark, sf, "pages"))
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.similar_pairs(_table(spark, sf, "pages"))
+
+
+def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return neardup.groups(_table(spark, sf, "pages"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return residue.find_residue(_table(spark, sf, "pages"))
 
@@ -54,7 +62,7 @@ def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p3_found, p3_main_content, p6_found, p8_ids, p9_containers)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p3_found, p3_main_content, p4_found, p4_groups, p6_found, p8_ids, p9_containers)}
 
 
 def oracle_sql() -> dict[str, str]:
