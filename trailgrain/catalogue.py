@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailgrain.operators import nested
+from trailgrain.operators import nested, units
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -21,8 +21,17 @@ def p5_children(spark: SparkSession, sf: str) -> DataFrame:
     return nested.flatten_recipes(_table(spark, sf, "pages"), text=True)
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return units.amounts(_table(spark, sf, "pages"), _table(spark, sf, "dishes"), _table(spark, sf, "units"))
+
+
+def p7_unit_shifts(spark: SparkSession, sf: str) -> DataFrame:
+    bare = units.bare_energies(_table(spark, sf, "pages"))
+    return units.unit_shifts(bare, "domain", "fetched_at", "value", "page_id", factor=4.184)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p5_found, p5_children)}
+    return {f.__name__: f for f in (p5_found, p5_children, p7_found, p7_unit_shifts)}
 
 
 def oracle_sql() -> dict[str, str]:
