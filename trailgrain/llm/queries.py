@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trailgrain.llm import boilerplate, encoding, language, neardup, packing, residue, tokenizer
+from trailgrain.llm import boilerplate, encoding, language, neardup, packing, pii, residue, tokenizer
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -61,8 +61,16 @@ def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_texts(_table(spark, sf, "documents"))
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.find_pii(_table(spark, sf, "documents"))
+
+
+def p10_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    return pii.redact(_table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p3_found, p3_main_content, p4_found, p4_groups, p6_found, p8_ids, p9_containers)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p3_found, p3_main_content, p4_found, p4_groups, p6_found, p8_ids, p9_containers, p10_found, p10_redacted)}
 
 
 def oracle_sql() -> dict[str, str]:
