@@ -1,0 +1,55 @@
+"""Writers: append-only JSON lines, key lists, the content-addressed cache, cards."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from trailgrain.operators import facets
+
+
+def append_jsonl(df: DataFrame, path: str) -> None:
+    """Add a file of JSON lines to ``path``; null fields are left out of a line."""
+    df.write.mode("append").json(path)
+
+
+def append_keys(df: DataFrame, path: str, key: str = "canonical") -> None:
+    df.select(F.col(key).cast("string")).write.mode("append").text(path)
+
+
+def write_cache(pages: DataFrame, path: str) -> None:
+    """Pages by the first two digits of the hash of their canonical URL."""
+    hashed = pages.withColumn("hash", F.sha2("canonical", 256)).withColumn("shard", F.substring("hash", 1, 2))
+    hashed.write.mode("append").partitionBy("shard").parquet(path)
+
+
+def cards(dishes: DataFrame, columns: Mapping[str, str] = facets.FACET_COLUMNS) -> DataFrame:
+    """The derived records as attributes: facets joined with ``|``, the search text and the sort metrics."""
+    df = facets.derive(dishes)
+    joined = [F.array_join(facets.facet_array(df, c), "|").alias(f"facet_{k}") for k, c in columns.items()]
+    text = facets.search_text(F.col("title"), F.col("blurb"), F.col("ingredients")).alias("search_text")
+    return df.select("id", "updated", *joined, text, "cal_oz", "ouncesperserving", "total_minutes", "caloriesperserving", F.lower("title").alias("title_key"))
+
+
+def ounces(x: Column) -> Column:
+    """Whole numbers plainly, others with one decimal."""
+    return F.when(x == F.floor(x), F.floor(x).cast("string")).when(x.isNotNull(), F.format_string("%.1f", x))
+
+
+def stats(dishes: DataFrame) -> DataFrame:
+    """The formatted numbers of a record."""
+    serves = F.concat(F.col("servings").cast("string"), F.when(F.coalesce("scalable", F.lit(True)), ", scales").otherwise(""))
+    water = F.when((F.col("water") == "none") | F.col("water").isNull(), "none").otherwise(F.concat(F.coalesce("waterml", F.lit(0)).cast("string"), F.lit(" ml "), F.col("water")))
+    return dishes.select("id", "updated", serves.alias("serves"), water.alias("water_text"), ounces(F.col("ouncesperserving")).alias("weight_text"))
+
+
+def pill_groups(groups: Mapping[str, Column]) -> Column:
+    """array<struct<name,values>> of the groups that have values."""
+    return F.filter(F.array(*[F.struct(F.lit(k).alias("name"), v.alias("values")) for k, v in groups.items()]), lambda g: F.size(g["values"]) > 0)
+
+
+def routes(dishes: DataFrame) -> DataFrame:
+    """(slug, record) of every row that isn't a draft."""
+    return facets.not_draft(dishes).select(F.col("id").alias("slug"), F.struct("*").alias("record"))
