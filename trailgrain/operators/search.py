@@ -44,7 +44,7 @@ def match_ranges(text: Column, query: str) -> Column:
         joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], hit["end"]).alias("end"))))
         return F.when((F.size(done) > 0) & (hit["start"] <= F.get(done, F.size(done) - 1)["end"]), joined).otherwise(F.concat(done, F.array(hit)))
 
-    return F.aggregate(hits, F.array().cast(kind), lambda done, hit: merge(done, hit).cast(kind))
+    return F.when(text.isNotNull(), F.aggregate(hits, F.array().cast(kind), lambda done, hit: merge(done, hit).cast(kind)))
 
 
 def highlight(text: Column, query: str) -> Column:

@@ -152,7 +152,7 @@ def read_amount(text: str | None, units: Factors, dimensions: tuple[str, ...] =
     def done(found: tuple[str, Fraction]) -> tuple[str, int]:
         return found[0], round(found[1])
 
-    if text[:1] and any(c.isdigit() for c in text):
+    if any(c.isdigit() for c in text) or "半" in text:
         matches = [(m.start(), -m.end(), kind, m) for kind in ("times", "packets", "plain", "prefixed") if (m := compiled[kind].search(text))]
         for _, _, kind, m in sorted(matches, key=lambda x: x[:2]):
             first = value(m["span"].replace("半", "1/2"), m["unit"])

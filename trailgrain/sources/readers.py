@@ -62,7 +62,7 @@ def read_collection(spark: SparkSession, path: str) -> DataFrame:
     """One row a markdown file: ``id`` (the file's name) and the record's fields in lower case; defaults fill what may be absent."""
     import json
 
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.md").text(path).select("value", F.input_file_name().alias("file"))
+    files = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True).select("value", F.input_file_name().alias("file"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
