@@ -180,7 +180,14 @@ class Blocks:
             return False
         links, labels, lists, roots, notices, _ = _rules()
         beginnings = [n for n, _ in notices] + _terms(LABELS)
-        return len(masked) > 3 and any(n.startswith(masked) for n in beginnings) or bool(labels.match(masked))
+        if len(masked) > 3 and any(n.startswith(masked) for n in beginnings) or labels.match(masked):
+            return True
+        letters = re.sub("[^a-z]", "", site.pattern.lower()) if site else ""
+        for head in {n.partition("@")[0] for n in beginnings if "@" in n[6:]}:
+            rest = re.sub(r"[\W_]", "", masked[len(head) :])
+            if len(head) > 6 and masked.startswith(head) and rest and letters.startswith(rest):
+                return True  # cut within the site's name
+        return False
 
 
 def page_batches(batch: pa.RecordBatch, blocks: Blocks):
