@@ -9,6 +9,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: A table of fewer files than there are cores is dealt out evenly, if it has at most so many bytes for each core.
+SPREAD_BYTES = 128 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, repartitioned if it is a scan of few files that would keep few cores busy.
+
+    A small file is one row group, which no split divides, so Python would run
+    in one task.  Larger tables are left to the splits of their scan, and plans
+    that shuffle have their partitions already.
+    """
+    execution = df._jdf.queryExecution()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(execution.optimizedPlan().stats().sizeInBytes()))
+    if cores < 2 or size > SPREAD_BYTES * cores or "Exchange" in execution.executedPlan().toString():
+        return df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """Apply ``fn`` to every Arrow batch; batches for which it returns None or no rows are skipped."""
 
@@ -19,7 +38,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
                 if out is not None and out.num_rows:
                     yield out
 
-    return df.mapInArrow(run, schema)
+    return spread(df).mapInArrow(run, schema)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
