@@ -83,6 +83,29 @@ błąd serwera
 доступ запрещён
 ページが見つかりません
 サーバーエラーが発生しました
+サーバーエラー、コード
+一時的に利用できません
+accesso negato
+accesso bloccato dal gestore
+acceso denegado
+demasiadas solicitudes
+acesso negado
+muitas solicitações
+toegang geweigerd
+te veel verzoeken
+åtkomst nekad
+för många förfrågningar
+pääsy estetty
+palvelu ei ole käytettävissä
+brak dostępu
+odmowa dostępu
+błąd serwera kod
+слишком много запросов
+ошибка сервера код
+сервис временно недоступен
+zu viele anfragen
+dienst vorübergehend nicht verfügbar
+trop de requêtes
 アクセスが拒否されました
 lorem ipsum dolor
 lorem ipsum
