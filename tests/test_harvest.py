@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from trailgrain.functions import html, urls
 from trailgrain.operators import robots
 from trailgrain.plans import crawl
-from trailgrain.sources import readers, sitemap, writers
+from trailgrain.sources import generators, readers, sitemap, writers
 from trailgrain.streaming import incremental
 
 
@@ -143,3 +143,15 @@ def test_stream_throttle_keeps_state(spark, tmp_path):
         writers.append_jsonl(spark.createDataFrame(rows, schema), log)
         incremental.drain(incremental.throttled(incremental.read_log(spark, log, schema), "host", "ms", "id", 1000), out, at)
     assert {r["id"]: r["start_ms"] for r in spark.read.parquet(out).collect()} == {1: 0, 2: 1000, 3: 50, 4: 2000}
+
+
+def test_generated_cells_and_parameters(spark):
+    rows = generators.cells(spark, {"w": ("blog", [("Alps", "en"), ("Andes", "es")]), "f": ("forum", [("Tatra", "pl")])}).collect()
+    assert [tuple(r) for r in rows] == [("w001", "blog", "Alps", "en"), ("w002", "blog", "Andes", "es"), ("f001", "forum", "Tatra", "pl")]
+    assert generators.parameters(["--budget", "7", "--shard", "x", "--other", "3"], {"budget": 4000, "shard": 0}) == {"budget": 7, "shard": 0}
+
+
+def test_observed_counts(spark):
+    df, seen = writers.observed(spark.range(5), "run", top=F.max("id"))
+    df.collect()
+    assert seen.get == {"rows": 5, "top": 4}

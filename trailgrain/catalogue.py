@@ -204,6 +204,17 @@ def stat_texts(spark, sf):
     return writers.stats(_table(spark, sf, "dishes"))
 
 
+@query(f"SELECT id, updated, CAST(len(list_filter([len(coalesce(tripstyle, [])) > 0, len(coalesce(slot, [])) > 0, len(coalesce(heatsource, [])) > 0, time_bucket IS NOT NULL, cal_oz_bucket IS NOT NULL, calorie_bucket IS NOT NULL, protein_bucket IS NOT NULL, cleanup IS NOT NULL, len(coalesce(dietary, [])) > 0, homeprep IS NOT NULL, shelflife IS NOT NULL, skill IS NOT NULL, cost IS NOT NULL], lambda x: x)) AS INT) AS n_groups FROM ({_DERIVED})")
+def detail_groups(spark, sf):
+    return writers.detail(_table(spark, sf, "dishes")).select("id", "updated", F.size("groups").alias("n_groups"))
+
+
+@query("""WITH b AS (SELECT id, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 5) AS BIGINT) AS batch FROM cells) SELECT batch, string_agg(id, '|' ORDER BY id) AS content FROM b GROUP BY batch""")
+def job_files(spark, sf):
+    batches = crawl.batched(_table(spark, sf, "cells"), [F.col("id").asc()])
+    return writers.job_files(batches, "id").select("batch", F.replace("content", F.lit("\n"), F.lit("|")).alias("content"))
+
+
 @query("""SELECT id, updated, array_to_string(list_filter([
  CASE WHEN title IS NULL THEN 'title' END, CASE WHEN blurb IS NULL THEN 'blurb' END, CASE WHEN NOT coalesce(caloriesperserving > 0, false) THEN 'caloriesperserving' END,
  CASE WHEN NOT coalesce(len(ingredients) >= 1, false) THEN 'ingredients' END, CASE WHEN NOT coalesce(NOT list_contains(dietary, 'vegan') OR list_contains(dietary, 'vegetarian'), false) THEN 'vegan-vegetarian' END], lambda x: x IS NOT NULL), ',') AS broken FROM dishes""")

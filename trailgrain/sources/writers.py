@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from trailgrain.functions import vocab
 from trailgrain.operators import facets
 
 
@@ -38,11 +39,16 @@ def ounces(x: Column) -> Column:
     return F.when(x == F.floor(x), F.floor(x).cast("string")).when(x.isNotNull(), F.format_string("%.1f", x))
 
 
-def stats(dishes: DataFrame) -> DataFrame:
-    """The formatted numbers of a record."""
+def _stat_columns() -> tuple[Column, Column, Column]:
     serves = F.concat(F.col("servings").cast("string"), F.when(F.coalesce("scalable", F.lit(True)), ", scales").otherwise(""))
     water = F.when((F.col("water") == "none") | F.col("water").isNull(), "none").otherwise(F.concat(F.coalesce("waterml", F.lit(0)).cast("string"), F.lit(" ml "), F.col("water")))
-    return dishes.select("id", "updated", serves.alias("serves"), water.alias("water_text"), ounces(F.col("ouncesperserving")).alias("weight_text"))
+    return serves, water, ounces(F.col("ouncesperserving"))
+
+
+def stats(dishes: DataFrame) -> DataFrame:
+    """The formatted numbers of a record."""
+    serves, water, weight = _stat_columns()
+    return dishes.select("id", "updated", serves.alias("serves"), water.alias("water_text"), weight.alias("weight_text"))
 
 
 def pill_groups(groups: Mapping[str, Column]) -> Column:
@@ -53,3 +59,22 @@ def pill_groups(groups: Mapping[str, Column]) -> Column:
 def routes(dishes: DataFrame) -> DataFrame:
     """(slug, record) of every row that isn't a draft."""
     return facets.not_draft(dishes).select(F.col("id").alias("slug"), F.struct("*").alias("record"))
+
+
+def detail(dishes: DataFrame) -> DataFrame:
+    """A record's page: formatted numbers, labelled groups of facets without empty ones, ingredients, steps and optional parts."""
+    df = facets.derive(dishes)
+    groups = {f.label: facets.facet_array(df, facets.FACET_COLUMNS[f.key]) for f in vocab.FACETS}
+    numbers = [c.alias(n) for c, n in zip(_stat_columns(), ("serves", "water_text", "weight_text"), strict=True)]
+    return df.select("id", "updated", *numbers, pill_groups(groups).alias("groups"), "ingredients", "steps", "packing", "variations", "source")
+
+
+def job_files(batches: DataFrame, line: str, batch: str = "batch", order: str = "position") -> DataFrame:
+    """One row a batch: its lines in order, joined."""
+    return batches.groupBy(batch).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, F.col(line).alias("line")))), lambda s: s["line"]), "\n").alias("content"))
+
+
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and the observation that has its number of rows and the given aggregates once an action has run."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(k) for k, m in metrics.items()]), seen
