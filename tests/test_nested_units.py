@@ -98,3 +98,28 @@ def test_unit_shift_is_reversed(spark):
     out = units.unit_shifts(spark.createDataFrame(rows, "k int, src string, o int, v double"), "src", "o", "v", "k", 4.184).collect()
     shifted = {r["k"] for r in out if r["unit_factor"] > 1}
     assert shifted == set(range(40, 80)) and len(out) == 121 and all(300 < r["restored"] < 600 for r in out)
+
+
+def test_changepoints_are_exact_at_the_shortest_lengths():
+    rng = random.Random(8)
+    for least in (2, 3, 5):
+        for _ in range(60):
+            values = np.array([rng.choice([0.0, 1.0, 3.0]) + rng.gauss(0, 0.3) for _ in range(rng.randint(least, 60))])
+            starts = units.changepoints(values, 0.2, least)
+            parts = np.split(values, starts[1:])
+            assert starts[0] == 0 and min(map(len, parts)) >= least
+            assert sum(float(((p - p.mean()) ** 2).sum()) for p in parts) + 0.2 * (len(parts) - 1) == pytest.approx(brute(values, 0.2, least), abs=1e-9)
+
+
+def test_shifts_of_a_long_history_are_measured_against_its_lowest_level(spark):
+    rng = random.Random(2)
+    n = 7000  # the other unit lasts from 1500 to 6200, longer than any piece a history was once cut into
+    rows = [(i, 0, "s", i, (400 + rng.random() * 100) * (4.184 if 1500 <= i < 6200 else 1)) for i in range(n)]
+    out = units.unit_shifts(spark.createDataFrame(rows, "k int, no int, src string, o int, v double"), "src", "o", "v", ("k", "no"), 4.184).collect()
+    assert len(out) == n and {r["k"] for r in out if r["unit_factor"] > 1} == set(range(1500, 6200))
+    assert all(300 < r["restored"] < 600 for r in out) and len({r["segment"] for r in out}) == 3
+
+
+def test_every_recipe_of_a_page_gives_its_energy(spark):
+    pages = spark.createDataFrame([("p", "d", 1, ['{"nutrition":{"calories":"400"}}', "{", '{"nutrition":{"calories":500}}', '{"nutrition":{"calories":"9 kcal"}}'])], "page_id string, domain string, fetched_at int, jsonld array<string>")
+    assert {(r["page_id"], r["recipe_no"], r["value"]) for r in units.bare_energies(pages).collect()} == {("p", 0, 400.0), ("p", 2, 500.0)}

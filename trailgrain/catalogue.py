@@ -431,4 +431,4 @@ def p7_found(spark, sf):
 
 @query()
 def p7_unit_shifts(spark, sf):
-    return units.unit_shifts(units.bare_energies(_table(spark, sf, "pages")), "domain", "fetched_at", "value", "page_id", factor=4.184)
+    return units.unit_shifts(units.bare_energies(_table(spark, sf, "pages")), "domain", "fetched_at", "value", ("page_id", "recipe_no"), factor=4.184)

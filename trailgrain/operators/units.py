@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Sequence
 from fractions import Fraction
 from functools import lru_cache
 
@@ -294,86 +295,105 @@ def amounts(pages: DataFrame, dishes: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def bare_energies(pages: DataFrame, key: str = "page_id", column: str = "jsonld", source: str = "domain", order: str = "fetched_at") -> DataFrame:
-    """``key``, ``source``, ``order`` and ``value`` of the first energy of each page that is given without a unit."""
+    """``key``, ``recipe_no``, ``source``, ``order`` and ``value`` of every recipe's energy that is given without a unit."""
     kind = pages.schema[key].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, values = [], []
+        rows, numbers, values = [], [], []
         for row, elements in enumerate(batch.column(3).to_pylist()):
-            for recipe in filter(None, map(read_json, elements or ())):
-                facts = recipe.get("nutrition")
+            for no, element in enumerate(elements or ()):
+                facts = recipe.get("nutrition") if (recipe := read_json(element)) else None
                 bare = facts.get("calories") if isinstance(facts, dict) else None
                 number = _number(str(bare)) if isinstance(bare, (int, float, str)) and not isinstance(bare, bool) else None
                 if number is not None and 0 < number < 10**9:
                     rows.append(row)
+                    numbers.append(no)
                     values.append(float(number))
-                    break
         at = pa.array(rows, pa.int64())
-        return pa.RecordBatch.from_arrays([*(batch.column(i).take(at) for i in range(3)), pa.array(values, pa.float64())], names=["key", "source", "order", "value"])
+        own, *rest = (batch.column(i).take(at) for i in range(3))
+        return pa.RecordBatch.from_arrays([own, pa.array(numbers, pa.int32()), *rest, pa.array(values, pa.float64())], names=["key", "recipe_no", "source", "order", "value"])
 
     part = pages.where(F.col(column).isNotNull()).select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(order).alias("order"), F.col(column).alias("elements"))
     ordered = pages.schema[order].dataType.simpleString()
-    return map_batches(part, run, f"key {kind}, source string, `order` {ordered}, value double").toDF(key, source, order, "value")
+    return map_batches(part, run, f"key {kind}, recipe_no int, source string, `order` {ordered}, value double").toDF(key, "recipe_no", source, order, "value")
 
 
 # ---- units that only a source's history tells
 
-#: Values of a history that are segmented together, and the penalty of a further segment (in squared log units).
-HISTORY, PENALTY = 2048, 1.5
+#: The penalty of a further segment (in squared log units).
+PENALTY = 1.5
 
 
 def changepoints(values: np.ndarray, penalty: float = PENALTY, least: int = 3) -> list[int]:
-    """Starts of the segments of constant mean with the least squared error plus ``penalty`` a segment: exact, by pruned dynamic programming."""
+    """Starts of the segments of constant mean with the least squared error plus ``penalty`` a segment: exact, by functional pruning.
+
+    A start is kept as long as some mean makes it the best one.  Which of two
+    starts is better for a mean never changes afterwards, so the axis of means
+    is divided among the starts, and few are left however long the history is.
+    """
     n = len(values)
+    if n < least:
+        return [0]
+    values = values - values.mean()
     sums = np.concatenate(([0.0], np.cumsum(values)))
     squares = np.concatenate(([0.0], np.cumsum(values**2)))
     best, last = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=np.int64)
     best[0] = -penalty
-    open_at = np.array([0])
-    for end in range(1, n + 1):
-        ready = open_at[end - open_at >= least] if end >= least else open_at[:0]
-        if len(ready):
-            size = end - ready
-            cost = squares[end] - squares[ready] - (sums[end] - sums[ready]) ** 2 / size
-            total = best[ready] + cost + penalty
-            k = int(np.argmin(total))
-            best[end], last[end] = total[k], ready[k]
-            dead = ready[best[ready] + cost > best[end]]  # they can't begin the last segment of any longer history
-            open_at = np.setdiff1d(open_at, dead, assume_unique=True)
-        if np.isfinite(best[end]):
-            open_at = np.append(open_at, end)
+    # Pieces of the axis and the start that is best there.
+    low, high, owner = np.array([values.min() - 1]), np.array([values.max() + 1]), np.array([0])
+    for end in range(least, n + 1):
+        new = end - least  # the start that can begin a last segment from here on
+        if new and np.isfinite(best[new]):
+            size = new - owner
+            mean = (sums[new] - sums[owner]) / size
+            room = (best[new] - best[owner] - (squares[new] - squares[owner])) / size + mean**2
+            reach = np.sqrt(np.maximum(room, 0.0))
+            left = np.where(room >= 0, np.clip(mean - reach, low, high), high)  # within [left, right] the owner stays the best
+            right = np.where(room >= 0, np.clip(mean + reach, low, high), high)
+            low = np.stack((low, left, right), axis=1).ravel()
+            high = np.stack((left, right, high), axis=1).ravel()
+            owner = np.stack((np.full(len(owner), new), owner, np.full(len(owner), new)), axis=1).ravel()
+            some = high > low
+            low, high, owner = low[some], high[some], owner[some]
+            first = np.concatenate(([True], owner[1:] != owner[:-1]))
+            low, high, owner = low[first], high[np.concatenate((first[1:], [True]))], owner[first]
+        size = end - owner
+        total = best[owner] + penalty + squares[end] - squares[owner] - (sums[end] - sums[owner]) ** 2 / size
+        k = int(np.argmin(total))
+        best[end], last[end] = total[k], owner[k]
     starts, end = [], n
-    while end > 0 and np.isfinite(best[end]):
-        starts.append(int(last[end]))
+    while end > 0:
         end = int(last[end])
-    return sorted(set(starts)) or [0]
+        starts.append(end)
+    return starts[::-1]
 
 
-def unit_shifts(values: DataFrame, source: str, order: str, value: str, key: str, factor: float, tolerance: float = 0.15, penalty: float = PENALTY, history: int = HISTORY) -> DataFrame:
-    """``key``, ``source``, ``segment``, ``unit_factor`` and ``restored`` of every positive value.
+def unit_shifts(values: DataFrame, source: str, order: str, value: str, key: str | Sequence[str], factor: float, tolerance: float = 0.15, penalty: float = PENALTY) -> DataFrame:
+    """``key`` (one or several columns), ``source``, ``segment``, ``unit_factor`` and ``restored`` of every positive value.
 
-    A source's values in the order of ``order`` are cut into histories of
-    ``history`` values, each segmented alone, so a source of any size is shared
-    out.  A segment whose level lies above the source's lowest by ``factor``
-    (give or take ``tolerance`` in log units) is in the other unit, and its
-    values are divided by it.  Null or nonpositive values and null sources give
-    no row.
+    A source's values in the order of ``order`` (equal ones by ``key``) are one
+    history and segmented as a whole, in one task.  A segment whose level lies
+    above the source's lowest by ``factor`` (give or take ``tolerance`` in log
+    units) is in the other unit, and its values are divided by it.  Null or
+    nonpositive values and null sources give no row.
     """
-    positive = values.where(F.col(value) > 0).select(F.col(key).alias("key"), F.col(source).alias("source"), F.col(order).alias("order"), F.col(value).cast("double").alias("value")).where("source is not null")
-    place = F.row_number().over(Window.partitionBy("source").orderBy(F.col("order").asc_nulls_first(), "key")) - 1
-    parted = positive.withColumn("place", place).withColumn("part", F.floor(F.col("place") / history).cast("long"))
-    kind = positive.schema["key"].dataType.simpleString()
+    keys = [key] if isinstance(key, str) else list(key)
+    inner = [f"key{i}" for i in range(len(keys))]
+    positive = values.where(F.col(value) > 0).select(*(F.col(k).alias(i) for k, i in zip(keys, inner, strict=True)), F.col(source).alias("source"), F.col(order).alias("order"), F.col(value).cast("double").alias("value")).where("source is not null")
+    place = F.row_number().over(Window.partitionBy("source").orderBy(F.col("order").asc_nulls_first(), *inner)) - 1
+    placed = positive.withColumn("place", place).drop("order")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("place")
         logs = np.log(np.asarray(table["value"], dtype=float))
         starts = changepoints(logs, penalty)
-        segment = np.searchsorted(starts, np.arange(len(logs)), side="right") - 1
-        levels = np.array([np.median(logs[segment == s]) for s in range(len(starts))])
+        sizes = np.diff([*starts, len(logs)])
+        levels = np.array([np.median(part) for part in np.split(logs, starts[1:])])
         shifted = np.abs(levels - levels.min() - math.log(factor)) <= tolerance
-        scale = np.where(shifted[segment], factor, 1.0)
-        return pa.table([table["key"], table["source"], pa.array(segment.astype(np.int32)), pa.array(scale), pa.array(np.exp(logs) / scale)], names=["key", "source", "segment", "unit_factor", "restored"])
+        scale = np.repeat(np.where(shifted, factor, 1.0), sizes)
+        segment = np.repeat(np.arange(len(starts), dtype=np.int32), sizes)
+        return pa.table([*(table[i] for i in inner), table["source"], pa.array(segment), pa.array(scale), pa.array(np.exp(logs) / scale)], names=[*inner, "source", "segment", "unit_factor", "restored"])
 
-    schema = f"key {kind}, source {positive.schema['source'].dataType.simpleString()}, segment int, unit_factor double, restored double"
-    out = parted.groupBy("source", "part").applyInArrow(run, schema)
-    return out.withColumnRenamed("key", key).withColumnRenamed("source", source)
+    types = ", ".join(f"{i} {positive.schema[i].dataType.simpleString()}" for i in inner)
+    schema = f"{types}, source {positive.schema['source'].dataType.simpleString()}, segment int, unit_factor double, restored double"
+    return placed.groupBy("source").applyInArrow(run, schema).toDF(*keys, source, "segment", "unit_factor", "restored")
