@@ -155,3 +155,29 @@ def test_costly_groups_lengthen_their_prefixes(monkeypatch):
     rows["id"], rows["size"], rows["more"][:, 0] = np.arange(12), 100, np.arange(12) // 3
     pairs = {(int(a), int(b)) for x, y in neardup._group_pairs(rows) for a, b in zip(x, y, strict=True)}
     assert pairs == {(a, b) for a in range(12) for b in range(a + 1, 12) if a // 3 == b // 3}
+
+
+@pytest.mark.parametrize("dealt", [50, 8192])
+def test_pairs_of_a_large_family_all_meet(monkeypatch, dealt):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(neardup, "COST", 16)
+    monkeypatch.setattr(neardup, "DEALT", dealt)
+    rng = np.random.default_rng(4)
+    shared, n = rng.integers(1, 1 << 52, 100, dtype=np.uint64), 400  # each pair has a similarity of 100 / 180
+    flat = np.concatenate([np.sort(np.concatenate((shared, rng.integers(1, 1 << 52, 40, dtype=np.uint64)))) for _ in range(n)])
+    ids, first = neardup.sketches(flat, np.arange(n + 1) * 140)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array([140] * n, pa.int32()), pa.array([r.tobytes() for r in first], pa.binary())], names=["class", "size", "sketch"])
+    rows = pa.Table.from_batches([neardup._prefix_rows(batch)]).sort_by("prefix").to_batches(max_chunksize=1000)
+    pairs, blocks = set(), []
+    for out in neardup._meeting_pairs(iter(rows)):
+        whole = out.filter(out.column(2).is_valid())
+        blocks += [whole.select(["block", "other"])] if whole.num_rows else []
+        out = out.filter(out.column(2).is_null())
+        pairs |= set(zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True))
+    assert bool(blocks) == (dealt == 50)
+    for out in neardup._dealt_pairs(iter(blocks)):
+        pairs |= set(zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True))
+    assert len(pairs) >= 0.998 * n * (n - 1) / 2
+

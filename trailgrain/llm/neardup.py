@@ -1,14 +1,13 @@
-"""Near-duplicate texts: adaptive multi-match prefixes over random token orders.
+"""Near-duplicate texts: multi-match prefixes over random token orders.
 
 A text is its set of word shingles.  Under each of ``TABLES`` random orders of
 all shingles a set's prefix is its first tokens.  Sets meet if they share a
-prefix of ``BASE`` tokens; where so many share it that comparing them would
-cost more than ``COST`` sets a set, the prefix is lengthened by a token, and
-correspondingly more shared tokens are required, up to ``LONGEST``.  Sets that
-meet are compared by a 256-bit sketch, what is left by their exact Jaccard
-similarity.  (A single order by document frequency finds every pair with
-certainty, but shares too little to be selective at a threshold of 0.5; the
-README has the figures.)
+prefix of ``BASE`` tokens.  However many share it, each is compared with each:
+the sets of a large group are dealt out in blocks, and every two blocks are a
+piece of work of their own.  Sets that meet are compared by a 256-bit sketch,
+what is left by their exact Jaccard similarity.  (A single order by document
+frequency finds every pair with certainty, but shares too little to be
+selective at a threshold of 0.5; the README has the figures.)
 
 Texts with the same set are one class and are joined once, so a group of copies
 of any size costs no more than one text.
@@ -35,6 +34,9 @@ SKETCHED = 128
 AGREE = 66
 #: Up to so many classes to verify are broadcast (16 bytes each), beyond that they are shuffled.
 BROADCAST_CLASSES = 1_000_000
+#: Groups of more than DEALT sets are dealt out in blocks of about so many, but at most BLOCKS of them, so a set is copied at most so often.
+DEALT, BLOCKS = 8192, 8
+ROWS_AT_ONCE = 128
 CHUNK_CHARS = 1_500_000
 _BITS = np.uint64((1 << 52) - 1)
 _ODD = np.random.default_rng(20250101).integers(1, 1 << 63, size=TABLES * PER_TABLE, dtype=np.uint64) | np.uint64(1)
@@ -180,24 +182,38 @@ def _differing(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x[..., :2] | x[..., 2:]).sum(axis=-1)
 
 
-def _compare(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of a group whose sketches agree enough, by blocks of bounded size."""
-    n = len(rows)
-    words = rows["bits"].copy().view(np.uint64)
-    for i0 in range(0, n - 1, COST):
-        a = slice(i0, min(n, i0 + COST))
-        for j0 in range(i0, n, COST):
-            b = slice(j0, min(n, j0 + COST))
-            differ = _differing(words[a, None, :] ^ words[None, b, :])
-            fits = (differ <= SKETCHED - AGREE) & (np.minimum(rows["size"][a, None], rows["size"][None, b]) >= SIMILARITY * np.maximum(rows["size"][a, None], rows["size"][None, b]))
-            i, j = np.nonzero(fits)
+def _words(rows: np.ndarray) -> np.ndarray:
+    """The sketches as four columns of words."""
+    return np.ascontiguousarray(rows["bits"].copy().view(np.uint64).T)
+
+
+def _compare(rows: np.ndarray, others: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a group, or of it and ``others``, whose sketches agree enough, by blocks of bounded size."""
+    rows = rows[np.argsort(rows["size"], kind="stable")]
+    own = others is None
+    others = rows if own else others[np.argsort(others["size"], kind="stable")]
+    x, y = _words(rows), _words(others)
+    for i0 in range(0, len(rows), ROWS_AT_ONCE):
+        a = slice(i0, i0 + ROWS_AT_ONCE)
+        size = rows["size"][a].astype(np.int64)
+        # Sizes ascend, so the others of fitting sizes are one range.
+        first = max(int(np.searchsorted(others["size"], SIMILARITY * size[0])), i0 if own else 0)
+        beyond = int(np.searchsorted(others["size"], size[-1] / SIMILARITY, side="right"))
+        for j0 in range(first, beyond, COST):
+            b = slice(j0, min(beyond, j0 + COST))
+            differ = np.bitwise_count((x[0, a, None] ^ y[0, None, b]) | (x[2, a, None] ^ y[2, None, b]))
+            differ += np.bitwise_count((x[1, a, None] ^ y[1, None, b]) | (x[3, a, None] ^ y[3, None, b]))
+            i, j = np.nonzero(differ <= SKETCHED - AGREE)
             i, j = i + i0, j + j0
-            below = (i < j) & (rows["id"][i] != rows["id"][j])
-            yield rows["id"][i[below]], rows["id"][j[below]]
+            m, n = rows["size"][i], others["size"][j]
+            fits = (np.minimum(m, n) >= SIMILARITY * np.maximum(m, n)) & (rows["id"][i] != others["id"][j])
+            if own:
+                fits &= i < j
+            yield rows["id"][i[fits]], others["id"][j[fits]]
 
 
 def _group_pairs(rows: np.ndarray, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Compare a group; one whose sets cost too much is divided by the next tokens of their prefixes."""
+    """Compare a group, divided by the next tokens of its prefixes if it is large: this loses pairs, so ``_meeting_pairs`` compares whole groups instead."""
     if len(rows) < 2:
         return
     if len(rows) > COST and depth == 0:
@@ -211,8 +227,40 @@ def _group_pairs(rows: np.ndarray, depth: int = 0) -> Iterator[tuple[np.ndarray,
     yield from _compare(rows)
 
 
+def _dealt(key: int, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The comparisons of a large group: every two of its blocks, and every block with itself."""
+    blocks = np.array_split(rows, min(BLOCKS, -(-len(rows) // DEALT)))
+    for i in range(len(blocks)):
+        for j in range(i, len(blocks)):
+            yield _work([key], [i * BLOCKS + j], [blocks[i].tobytes()], [blocks[j].tobytes() if j > i else None])
+
+
+def _work(a, b, block, other) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(block, pa.binary()), pa.array(other, pa.binary())], names=["a", "b", "block", "other"])
+
+
+def _as_work(pairs: pa.RecordBatch) -> pa.RecordBatch:
+    none = pa.nulls(pairs.num_rows, pa.binary())
+    return pa.RecordBatch.from_arrays([*pairs.columns, none, none], names=["a", "b", "block", "other"])
+
+
+def _dealt_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes from the comparisons that were dealt out."""
+    for batch in batches:
+        for block, other in zip(batch.column(0), batch.column(1), strict=True):
+            a, b = [], []
+            for i, j in _compare(np.frombuffer(block.as_buffer(), _ROW), np.frombuffer(other.as_buffer(), _ROW) if other.is_valid else None):
+                a.append(i)
+                b.append(j)
+                if sum(map(len, a)) > 200_000:
+                    yield _distinct(a, b)
+                    a, b = [], []
+            if a:
+                yield _distinct(a, b)
+
+
 def _meeting_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in the order of their prefixes to pairs of classes; a group can span batches."""
+    """From rows in the order of their prefixes to pairs of classes, or blocks to compare; a group can span batches."""
     kept_keys, kept_rows = np.zeros(0, np.int64), np.zeros(0, _ROW)
 
     def pairs(keys: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -227,14 +275,20 @@ def _meeting_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             a.append(x["id"][fits])
             b.append(y["id"][fits])
         for at in np.flatnonzero(sizes > 2):
-            for i, j in _group_pairs(rows[edges[at] : edges[at + 1]]):
+            group = rows[edges[at] : edges[at + 1]]
+            if len(group) > COST:
+                group = group[np.unique(group["id"], return_index=True)[1]]
+            if len(group) > DEALT:
+                yield from _dealt(int(keys[edges[at]]), group)
+                continue
+            for i, j in _compare(group):
                 a.append(i)
                 b.append(j)
                 if sum(map(len, a)) > 200_000:
-                    yield _distinct(a, b)
+                    yield _as_work(_distinct(a, b))
                     a, b = [], []
         if a:
-            yield _distinct(a, b)
+            yield _as_work(_distinct(a, b))
 
     for batch in batches:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
@@ -277,8 +331,9 @@ def join_classes(pages: DataFrame, key: str = "page_id", title: str = "title", t
     sketched = sketch_pages(pages, key, title, text).checkpoint()
     members = sketched.select("key", "class")
     rows = map_batches(sketched.select("class", "size", "sketch"), _prefix_rows, "prefix long, row binary")
-    meeting = rows.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_meeting_pairs, "a long, b long").distinct()
-    meeting = meeting.checkpoint()
+    met = rows.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_meeting_pairs, "a long, b long, block binary, other binary").checkpoint()
+    dealt = met.where("block is not null").repartition("a", "b").select("block", "other").mapInArrow(_dealt_pairs, "a long, b long")
+    meeting = met.where("block is null").select("a", "b").unionAll(dealt).distinct().checkpoint()
     wanted = meeting.select(F.col("a").alias("class")).union(meeting.select(F.col("b").alias("class"))).distinct()
     few = 2 * meeting.count() <= BROADCAST_CLASSES
     chosen = members.join(F.broadcast(wanted) if few else wanted, "class").groupBy("class").agg(F.min("key").alias("key"))
