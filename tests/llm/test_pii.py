@@ -46,3 +46,17 @@ def test_names_are_learnt_and_found(spark, data):
     out = {r["doc_id"]: r["redacted"] for r in pii.redact(docs).collect()}
     assert out[10] is None and out[11] == "" and out[9] == "we saw [PERSON_NAME_1]"
     assert pii.find_pii(docs.where("false")).count() == 0
+
+
+def test_names_introduced_once_are_found_in_their_own_document(spark):
+    texts = ["Signed, Zelda Quorin. Later ZELDA QUORIN and Quorin, Zelda came back.", "Zelda Quorin walked on.", "Contact: Ilka van der Murn", "Dear Anna\nThanks a lot"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {(r["doc_id"], r["found_text"]) for r in pii.find_pii(df).collect()}
+    assert found == {(0, "Zelda Quorin"), (0, "ZELDA QUORIN"), (0, "Quorin, Zelda"), (2, "Ilka van der Murn")}
+
+
+def test_every_learnt_name_is_kept(spark, monkeypatch):
+    monkeypatch.setattr(pii, "LEXICON", 2, raising=False)
+    df = spark.createDataFrame([(f"Signed, {g} {s}",) for g, s in [("Ada", "Marl"), ("Bea", "Norn"), ("Cid", "Orp")] * 3], "text string")
+    names = pii.learn_names(df)
+    assert (names.given, names.surnames) == ({"ada", "bea", "cid"}, {"marl", "norn", "orp"})

@@ -4,6 +4,7 @@ Emails, phone and identity numbers and street addresses are found by their
 form.  Names have none, so they are learnt: a first pass over all documents
 gathers given names and surnames from contexts that introduce a person, the
 second finds them together anywhere, in any letter case and in either order.
+What a document introduces itself counts in it however rare it is.
 
 Surrogates are keyed: the same entity always gets the same replacement, of its
 type, script, letter case and format; two entities of a document never share
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from trailgrain.functions.arrowkit import map_batches
 
 KINDS = ("email", "phone", "identity_number", "street_address", "person_name")
-#: A token must be introduced as a name so often to be learnt, and at most so many tokens are kept, the most frequent first.
-LEARNT, LEXICON = 3, 400_000
+#: A token must be introduced as a name so often to count in documents that don't introduce it themselves.
+LEARNT = 3
 
 # ---- fixed values: forms of emails, numbers and addresses
 
@@ -123,25 +124,34 @@ class Names:
         self.given = {t for t, n in given.items() if n >= surnames.get(t, 0)}
         self.surnames = {t for t, n in surnames.items() if n > given.get(t, 0)}
 
-    def _is(self, token: str, lexicon: set[str]) -> bool:
-        return all(p in lexicon for p in token.lower().replace("’", "'").split("-"))
+
+    def _is(self, token: str, names: set[str]) -> bool:
+        return all(p in names for p in token.lower().replace("’", "'").split("-"))
 
     def find(self, text: str) -> Iterator[tuple[int, int]]:
-        lowered = text.lower().replace("’", "'")
-        if self.surnames.isdisjoint(_PIECES.findall(lowered)):
+        own: dict[str, set[str]] = {"given": set(), "surname": set(), "particle": set()}
+        for role, token in introduced(text):
+            own[role].add(token)
+        here = set("|".join(_PIECES.findall(text)).lower().replace("’", "'").split("|"))
+        given, surnames = here & self.given | own["given"], here & self.surnames | own["surname"]
+        if not given or not surnames:
             return
+        starts = given | surnames | _PARTICLE_WORDS
         tokens = [(m.start(), m.end(), m.group()) for m in _TOKENS.finditer(text)]
         i, n = 0, len(tokens)
         while i < n:
-            end = self._forward(text, tokens, i) or self._backward(text, tokens, i)
+            if "-" not in tokens[i][2] and tokens[i][2].lower().replace("’", "'") not in starts:
+                i += 1
+                continue
+            end = self._forward(text, tokens, i, given, surnames) or self._backward(text, tokens, i, given, surnames, own["particle"])
             if end:
                 last = tokens[end - 1]
                 yield tokens[i][0], last[1] + (len(last[2]) == 1)  # an initial at the end keeps its dot
             i = end or i + 1
 
-    def _forward(self, text: str, tokens: list, i: int) -> int | None:
+    def _forward(self, text: str, tokens: list, i: int, given: set[str], surnames: set[str]) -> int | None:
         """Given name, initials, particles, surname: the index after the last token."""
-        if not self._is(tokens[i][2], self.given):
+        if not self._is(tokens[i][2], given):
             return None
         j = i + 1
         while j < len(tokens) and len(tokens[j][2]) == 1 and text[tokens[j][1] : tokens[j][1] + 1] == "." and text[tokens[j - 1][1] : tokens[j][0]].strip(" .") == "":
@@ -151,24 +161,26 @@ class Names:
             gap = text[tokens[j - 1][1] : tokens[j][0]]
             if gap.strip(" \t.") or ("." in gap and len(tokens[j - 1][2]) > 1) or "\n" in gap or not gap:
                 return None
-            if self._is(tokens[j][2], self.surnames):
+            if self._is(tokens[j][2], surnames):
                 return j + 1
             if tokens[j][2].lower() not in _PARTICLE_WORDS:
                 return None
             j, steps = j + 1, steps + 1
         return None
 
-    def _backward(self, text: str, tokens: list, i: int) -> int | None:
+    def _backward(self, text: str, tokens: list, i: int, given: set[str], surnames: set[str], particles: set[str]) -> int | None:
         """Surname (with particles), comma, given name, initials."""
         j, steps = i, 0
         while j < len(tokens) and tokens[j][2].lower() in _PARTICLE_WORDS and steps < 3:
             j, steps = j + 1, steps + 1
-        if j >= len(tokens) or not self._is(tokens[j][2], self.surnames):
+        if j >= len(tokens) or not self._is(tokens[j][2], surnames):
             return None
-        if j > i and (f"{' '.join(tokens[k][2].lower() for k in range(i, j))}|{_parts(tokens[j][2])[0]}" not in self.particles or any(text[tokens[k][1] : tokens[k + 1][0]].strip(" ") for k in range(i, j))):
-            return None
-        if j + 1 < len(tokens) and re.fullmatch(r",[ \t]+|[ \t]+", text[tokens[j][1] : tokens[j + 1][0]]) and self._is(tokens[j + 1][2], self.given):
-            after = self._forward(text, tokens, j + 1)
+        if j > i:
+            particle = f"{' '.join(tokens[k][2].lower() for k in range(i, j))}|{_parts(tokens[j][2])[0]}"
+            if particle not in self.particles and particle not in particles or any(text[tokens[k][1] : tokens[k + 1][0]].strip(" ") for k in range(i, j)):
+                return None
+        if j + 1 < len(tokens) and re.fullmatch(r",[ \t]+|[ \t]+", text[tokens[j][1] : tokens[j + 1][0]]) and self._is(tokens[j + 1][2], given):
+            after = self._forward(text, tokens, j + 1, given, surnames)
             if "," not in text[tokens[j][1] : tokens[j + 1][0]] and after:
                 return None  # the given name belongs to the surname after it
             k = j + 2
@@ -239,7 +251,7 @@ _NOT_PHONE = re.compile(r"(?:model|order no\.?|barcode|grid ref|batch|isbn|secti
 
 
 def learn_names(documents: DataFrame, text: str = "text") -> Names:
-    """Given names and surnames that all documents introduce; what is collected is bounded by LEXICON."""
+    """Given names and surnames that all documents introduce at least LEARNT times: all of them are collected, as Arrow columns."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts: Counter[tuple[str, str]] = Counter()
@@ -249,8 +261,12 @@ def learn_names(documents: DataFrame, text: str = "text") -> Names:
         return pa.RecordBatch.from_arrays([pa.array([r for r, _ in counts], pa.string()), pa.array([t for _, t in counts], pa.string()), pa.array(counts.values(), pa.int64())], names=["role", "token", "n"])
 
     counted = map_batches(documents.select(F.col(text).alias("text")), run, "role string, token string, n long").groupBy("role", "token").agg(F.sum("n").alias("n"))
-    rows = counted.where(F.col("n") >= LEARNT).orderBy(F.desc("n"), "token").limit(LEXICON).collect()
-    return Names(*({r["token"]: r["n"] for r in rows if r["role"] == role} for role in ("given", "surname", "particle")))
+    learnt = counted.where(F.col("n") >= LEARNT).toArrow()
+    roles: dict[str, dict[str, int]] = {"given": {}, "surname": {}, "particle": {}}
+    for batch in learnt.to_batches():
+        for role, token, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            roles[role][token] = n
+    return Names(*roles.values())
 
 
 def find_pii(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
