@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from trailgrain.llm import boilerplate, encoding, language, neardup, residue
 
@@ -181,3 +182,20 @@ def test_pairs_of_a_large_family_all_meet(monkeypatch, dealt):
         pairs |= set(zip(out.column(0).to_pylist(), out.column(1).to_pylist(), strict=True))
     assert len(pairs) >= 0.998 * n * (n - 1) / 2
 
+
+
+def test_a_garbled_sign_among_clean_cyrillic_letters():
+    text = "Замочите гречневую крупу и тушёнку, щавель, ячмень – дайте постоять, объедки выбросьте"
+    assert encoding.diagnose(text.replace("–", "–".encode().decode("cp1252")))[:2] == (True, text)
+
+
+def test_garbled_words_after_many_odd_ones():
+    odd = "\n".join(f"{w} λάδι ʃɛʒ ɸβγ ωψχ ɪʊə" for w in "one two three four five six seven eight nine ten eleven twelve".split())
+    tail = "Die Möhren kochen"
+    assert encoding.diagnose(f"{odd}\n{tail.encode().decode('cp1252')}")[1] == f"{odd}\n{tail}"
+
+
+def test_the_gate_lets_every_suspect_text_through(spark):
+    texts = ["àé", "éèêë", "a?é", "x½", "ein ß hier", "?? ??", "plain é"]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t").where(F.col("t").rlike(encoding.SUSPECT))
+    assert found.count() == 6 and found.where(~F.col("t").rlike(encoding.GATE)).count() == 0

@@ -120,8 +120,9 @@ SUSPECT = (
 )
 
 
-#: A quick necessary condition of SUSPECT: characters that every rule of it needs one of.
-GATE = f"[\\x{{80}}-\\x{{10ffff}}&&[^{PLAIN}]]|ít|\\?[a-z?]"
+_ALONE = "".join(c for c in LETTERS if c in PLAIN and c not in WORD_LETTERS)
+#: A quick necessary condition of SUSPECT: a character that isn't plain, or a rule of it that plain characters alone can fulfil.
+GATE = f"[\\x{{80}}-\\x{{10ffff}}&&[^{PLAIN}]]|ít|\\?[a-z?{_LOWER}]|\\?\\?[ ,]|à[^\\x00-\\x7f]|[{LETTERS}]{{4}}|[a-z][¼½¾©°·]|(?<![\\w’'.-])[{_ALONE}](?![\\w’'.-])"
 
 
 def oddness(text: str) -> float:
@@ -199,7 +200,7 @@ def _candidates() -> list[tuple[str, str, bool]]:
 
 
 _WINDOW = re.compile("[^\n]{0,12}[^\x00-\x7f][^\n]{0,36}")
-#: The pair of encodings is chosen on so many of the oddest windows, then tried on the whole text.
+#: The pair of encodings is chosen on so many of the oddest windows, or the next ones if there is none, then tried on the whole text.
 WINDOWS = 10
 
 
@@ -212,7 +213,9 @@ def _choose(text: str, failed: set[tuple[str, str, bool]]) -> tuple[str, str, bo
     if len(text) - len(plain) >= 0.4 * odd_chars > 0 and ("cp1252", "utf_8", True) not in failed:
         return "cp1252", "utf_8", True  # most of what is odd is well-formed UTF-8, be it misread once or more
     beyond = {ord(c) for c in text if c > "\x7f" and c not in PLAIN}
-    able = {r for r in READ_AS if r == "cp932" or sum(c in _bytes_of(r) for c in beyond) >= 0.25 * len(beyond)}
+    # What is odd itself, window by window, without its clean neighbours.
+    signs = [{ord(c) for _, rule in _ODD for m in rule.findall(w) for c in m if c > "\x7f" and c not in PLAIN} for w in text.split("\n")]
+    able = {r for r in READ_AS if r == "cp932" or any(sum(c in _bytes_of(r) for c in chars) >= 0.25 * len(chars) for chars in (beyond, *signs))}
     for candidate in _candidates():
         read_as, written, multi = candidate
         if read_as not in able or candidate in failed:
@@ -229,14 +232,12 @@ def _choose(text: str, failed: set[tuple[str, str, bool]]) -> tuple[str, str, bo
     return best
 
 
-def repair(text: str, rounds: int = 6) -> str:
+def repair(text: str) -> str:
     """``text`` with its misread parts restored, as far as their bytes are still there."""
     before, failed = oddness(text), set()
-    for _ in range(rounds):
-        if before < 1:
-            break
-        windows = sorted(((oddness(w), w) for w in _WINDOW.findall(text)), key=lambda x: -x[0])
-        best = _choose("\n".join(w for odd, w in windows[:WINDOWS] if odd), failed)
+    while before >= 1:  # each time there is a pair less to try or the text is less odd
+        windows = [w for odd, w in sorted(((oddness(w), w) for w in _WINDOW.findall(text)), key=lambda x: -x[0]) if odd]
+        best = next(filter(None, (_choose("\n".join(windows[i : i + WINDOWS]), failed) for i in range(0, len(windows), WINDOWS))), None)
         if best is None:
             break
         plain = (_decode_multi if best[2] else _decode_single)(text, *best[:2])
