@@ -199,3 +199,14 @@ def test_the_gate_lets_every_suspect_text_through(spark):
     texts = ["àé", "éèêë", "a?é", "x½", "ein ß hier", "?? ??", "plain é"]
     found = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr("t").where(F.col("t").rlike(encoding.SUSPECT))
     assert found.count() == 6 and found.where(~F.col("t").rlike(encoding.GATE)).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_the_index_retrieves_every_exemplar_that_a_window_covers(seed):
+    rng = random.Random(seed)
+    index = residue.ResidueIndex({t: rng.randrange(1000) for t in sorted(residue.vocabulary())}, 1000)
+    for i, (_, wanted, own) in enumerate(residue.exemplars()):
+        for missing in own:
+            held = {p for p in wanted if missing not in p.split(" ")}
+            if sum(index.weight[p] for p in held) >= residue.COVERAGE * index.total[i]:
+                assert any(i in index.by_word.get(w, ()) for w in own - {missing})

@@ -1,7 +1,8 @@
 """Template residue and error-page text, found by labelled exemplars.
 
-An inverted index leads from an exemplar's rarest word to the exemplar.  The
-sentences of a page that hold such a word are its passage windows; an exemplar
+An inverted index leads from an exemplar's rarest words to the exemplar: from so
+many that the pairs without any of them can't make up enough of it, so none is
+missed.  The sentences of a page that hold such a word are its passage windows; an exemplar
 is found in a window if the pairs of neighbouring words they share make up
 enough of the exemplar, weighted by inverse document frequency over all pages.
 Unfilled template syntax is one token whatever is in it, so it is an exemplar
@@ -81,8 +82,14 @@ class ResidueIndex:
         n = max(1, documents)
         self.weight = {t: math.log((n + 1) / (frequencies.get(t, 0) + 0.5)) + 0.1 for t in vocabulary()}
         self.by_word: dict[str, list[int]] = {}
-        for i, (_, _, w) in enumerate(exemplars()):
-            self.by_word.setdefault(max(sorted(w), key=self.weight.__getitem__), []).append(i)
+        for i, (_, ps, w) in enumerate(exemplars()):
+            total = sum(self.weight[p] for p in ps)
+            left = set(ps)
+            for word in sorted(w, key=lambda t: (-self.weight[t], t)):
+                self.by_word.setdefault(word, []).append(i)
+                left = {p for p in left if word not in p.split(" ")}
+                if sum(self.weight[p] for p in left) < COVERAGE * total - 1e-9:
+                    break  # a window without the words so far can't hold enough of the exemplar
         self.total = [sum(self.weight[p] for p in ps) for _, ps, _ in exemplars()]
         self.whole = frozenset(WHOLE.splitlines())
         self.filler = frozenset(FILLER.split())
@@ -91,11 +98,10 @@ class ResidueIndex:
         """Whether a window holds residue, given the index words in it."""
         here = pairs(tokens) | set(tokens)
         best = {True: 0.0, False: 0.0}
-        for w in found:
-            for i in self.by_word[w]:
-                label, wanted, _ = exemplars()[i]
-                cover = sum(self.weight[p] for p in wanted if p in here) / self.total[i]
-                best[label] = max(best[label], cover)
+        for i in {i for w in found for i in self.by_word[w]}:
+            label, wanted, _ = exemplars()[i]
+            cover = sum(self.weight[p] for p in wanted if p in here) / self.total[i]
+            best[label] = max(best[label], cover)
         return best[True] >= COVERAGE and best[True] > best[False] - 0.05 * (best[False] >= COVERAGE) and best[False] < COVERAGE
 
     def field(self, text: str, title: bool = False) -> bool:
