@@ -2,89 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailgrain.functions import html, urls, vocab
-from trailgrain.operators import facets, nested, ordering, quality, robots, search, units
+from trailgrain.functions import urls, vocab
+from trailgrain.operators import facets, nested, ordering, quality, search, units
 from trailgrain.plans import crawl
 from trailgrain.plans.state import FilterState
-from trailgrain.sources import sitemap, writers
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under its function's name, and its SQL."""
-
-    def register(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
-def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
-
-
-def _literal(sf_spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return sf_spark.createDataFrame(rows, schema)
-
-
-def _values(rows: list[tuple], names: str) -> str:
-    """The same rows as SQL."""
-    quoted = ", ".join("(" + ", ".join("NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'" for v in r) + ")" for r in rows)
-    return f"(VALUES {quoted}) t({names})"
-
-
-# ---- SQL of derived columns, shared by the statements below
-
-_CAL_OZ = "CASE WHEN ouncesperserving > 0 THEN CAST(floor(caloriesperserving / ouncesperserving + 0.5) AS BIGINT) END"
-_MINUTES = "CAST(prepminutes + cookminutes AS BIGINT)"
-
-
-def _ladder(value: str, edges: list[int], names: list[str]) -> str:
-    return f"CASE WHEN ({value}) IS NULL THEN NULL " + " ".join(f"WHEN ({value}) < {e} THEN '{n}'" for e, n in zip(edges, names, strict=False)) + f" ELSE '{names[-1]}' END"
-
-
-_DERIVED = f"""SELECT *, {_CAL_OZ} AS cal_oz, {_MINUTES} AS total_minutes,
- {_ladder(_MINUTES, vocab.TIME_EDGES, vocab.TIME_NAMES)} AS time_bucket, {_ladder(_CAL_OZ, vocab.CAL_OZ_EDGES, vocab.CAL_OZ_NAMES)} AS cal_oz_bucket,
- {_ladder("caloriesperserving", vocab.CALORIE_EDGES, vocab.CALORIE_NAMES)} AS calorie_bucket, {_ladder("proteingrams", vocab.PROTEIN_EDGES, vocab.PROTEIN_NAMES)} AS protein_bucket,
- lower(concat_ws(' ', title, blurb, array_to_string(list_transform(ingredients, lambda i: i.item), ' '))) AS hay FROM dishes"""
-_CANONICAL = r"""SELECT *, regexp_replace(regexp_extract(url, '^(https?)://', 1) || '://' || lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) ||
- CASE WHEN regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) IN ('', '/') THEN '/' ELSE regexp_replace(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '/+$', '') END ||
- coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^(utm_|(fbclid|gclid|mc_cid|mc_eid|igshid|_ga|ref|source)(=|$))'))), '&'), ''), ''), ' ', '') AS canonical FROM pages"""
-_SITE = "regexp_replace(lower(trim(domain)), '^www\\.', '')"
-
+from trailgrain.registry import oracle_sql, queries, query
+from trailgrain.registry import table as _table
+from trailgrain.registry import values as _values
+from trailgrain.sources import writers
+from trailgrain.sqltext import CANONICAL, DERIVED, PLAN, SITE, ladder
 
 # ---- faceted collection
 
 _SELECTED = {"slot": ["dinner", "lunch"], "heat": ["canister-stove", "no-cook"], "diet": list(vocab.ALL_VALUES["diet"])}
 
 
-@query(f"""SELECT id, title, cal_oz, total_minutes FROM ({_DERIVED}) WHERE NOT coalesce(draft, false)
+@query(f"""SELECT id, title, cal_oz, total_minutes FROM ({DERIVED}) WHERE NOT coalesce(draft, false)
  AND list_has_any(coalesce(slot, []), ['dinner', 'lunch']) AND list_has_any(coalesce(heatsource, []), ['canister-stove', 'no-cook']) AND contains(hay, 'oats')""")
 def faceted_query(spark, sf):
     state = FilterState(_SELECTED, query="  OATS ")
     return state.run(_table(spark, sf, "dishes")).select("id", "title", "cal_oz", "total_minutes")
 
 
-@query(f"""SELECT id, title FROM ({_DERIVED}) WHERE list_has_any(coalesce(slot, []), ['dinner', 'lunch']) AND list_has_any(coalesce(heatsource, []), ['canister-stove', 'no-cook'])
+@query(f"""SELECT id, title FROM ({DERIVED}) WHERE list_has_any(coalesce(slot, []), ['dinner', 'lunch']) AND list_has_any(coalesce(heatsource, []), ['canister-stove', 'no-cook'])
  AND list_has_any(coalesce(dietary, []), ['vegetarian', 'vegan', 'gluten-free', 'dairy-free', 'nut-free'])""")
 def facet_match_literal(spark, sf):
     """A full selection constrains here: rows without any option of it don't match."""
@@ -92,12 +35,12 @@ def facet_match_literal(spark, sf):
     return df.where(facets.matches(facets.facet_columns(df), _SELECTED)).select("id", "title")
 
 
-@query(f"SELECT id, updated, cal_oz, total_minutes, time_bucket, cal_oz_bucket, calorie_bucket, protein_bucket FROM ({_DERIVED})")
+@query(f"SELECT id, updated, cal_oz, total_minutes, time_bucket, cal_oz_bucket, calorie_bucket, protein_bucket FROM ({DERIVED})")
 def derive_dish(spark, sf):
     return facets.derive(_table(spark, sf, "dishes")).select("id", "updated", "cal_oz", "total_minutes", "time_bucket", "cal_oz_bucket", "calorie_bucket", "protein_bucket")
 
 
-@query("SELECT p_partkey, " + _ladder("p_retailprice", [1000, 1500], ["low", "mid", "high"]) + " AS price_bucket FROM part")
+@query("SELECT p_partkey, " + ladder("p_retailprice", [1000, 1500], ["low", "mid", "high"]) + " AS price_bucket FROM part")
 def bucket_price(spark, sf):
     return _table(spark, sf, "part").select("p_partkey", facets.bucket(F.col("p_retailprice"), [1000, 1500], ["low", "mid", "high"]).alias("price_bucket"))
 
@@ -108,7 +51,7 @@ def _facet_counts_sql() -> str:
     for key, column in facets.FACET_COLUMNS.items():
         listed = column if column in ("tripstyle", "slot", "heatsource", "dietary") else f"[{column}]"
         parts.append(f"SELECT '{key}' AS key, unnest(list_distinct({listed})) AS value FROM d")
-    return f"WITH d AS ({_DERIVED}), e AS ({' UNION ALL '.join(parts)}), c AS (SELECT key, value, count(*) AS n FROM e GROUP BY ALL) SELECT t.key, t.value, t.value_label, coalesce(c.n, 0) AS n FROM {_values(rows, 'key, value, value_label')} LEFT JOIN c USING (key, value)"
+    return f"WITH d AS ({DERIVED}), e AS ({' UNION ALL '.join(parts)}), c AS (SELECT key, value, count(*) AS n FROM e GROUP BY ALL) SELECT t.key, t.value, t.value_label, coalesce(c.n, 0) AS n FROM {_values(rows, 'key, value, value_label')} LEFT JOIN c USING (key, value)"
 
 
 @query(_facet_counts_sql())
@@ -116,42 +59,20 @@ def facet_counts(spark, sf):
     return facets.facet_counts(facets.derive(_table(spark, sf, "dishes")))
 
 
-@query(f"SELECT count(*) FILTER (WHERE list_contains(slot, 'dinner')) AS dinners, count(*) FILTER (WHERE list_contains(dietary, 'vegan')) AS vegan, count(*) FILTER (WHERE total_minutes < 15) AS quick, count(*) AS visible FROM ({_DERIVED}) WHERE NOT coalesce(draft, false)")
+@query(f"SELECT count(*) FILTER (WHERE list_contains(slot, 'dinner')) AS dinners, count(*) FILTER (WHERE list_contains(dietary, 'vegan')) AS vegan, count(*) FILTER (WHERE total_minutes < 15) AS quick, count(*) AS visible FROM ({DERIVED}) WHERE NOT coalesce(draft, false)")
 def facet_multi_count(spark, sf):
     df = facets.derive(facets.not_draft(_table(spark, sf, "dishes")))
     return df.agg(F.count_if(F.array_contains("slot", "dinner")).alias("dinners"), F.count_if(F.array_contains("dietary", "vegan")).alias("vegan"), F.count_if(F.col("total_minutes") < 15).alias("quick"), F.count(F.lit(1)).alias("visible"))
 
 
-@query("SELECT id, updated, skill, coalesce(CASE skill WHEN 'dump-and-stir' THEN 'Dump and stir' WHEN 'basic' THEN 'Basic' WHEN 'cooking' THEN 'Actual cooking' END, skill) AS value_label FROM dishes")
-def facet_label(spark, sf):
-    df = _table(spark, sf, "dishes").select("id", "updated", "skill", F.lit("skill").alias("facet"))
-    return facets.labelled(df, "facet", "skill").select("id", "updated", "skill", "value_label")
-
-
-_STATES = [("slot all, heat no-cook", {"slot": vocab.ALL_VALUES["slot"], "heat": ["no-cook"]}, ""), ("slot lunch, heat no-cook", {"slot": ["lunch"], "heat": ["no-cook"]}, ""), ("nothing", {}, ""), ("text", {}, "ramen")]
-
-
-@query(f"SELECT * FROM {_values([('slot all, heat no-cook', 1, 'false', '?heat=no-cook'), ('slot lunch, heat no-cook', 2, 'false', '?slot=lunch&heat=no-cook'), ('nothing', 0, 'true', ''), ('text', 0, 'false', '?q=ramen')], 'state, active, is_empty, encoded')}")
-def codec_encode(spark, sf):
-    rows = [(name, facets.active_count(sel), str(FilterState(sel, query=q).is_empty()).lower(), FilterState(sel, query=q).encode()) for name, sel, q in _STATES]
-    return _literal(spark, rows, "state string, active int, is_empty string, encoded string")
-
-
-@query(f"SELECT * FROM {_values([('?slot=lunch', 'lunch', 9, 'cal-oz', ''), ('slot=breakfast,nonsense&bogus=x&sort=fake', 'breakfast', 9, 'cal-oz', ''), ('?slot=nonsense&q=a+b&sort=time', 'breakfast,lunch,dinner,snack,dessert,drink', 9, 'time', 'a b')], 'text, slot, heats, sort, q')}")
-def codec_decode(spark, sf):
-    texts = ["?slot=lunch", "slot=breakfast,nonsense&bogus=x&sort=fake", "?slot=nonsense&q=a+b&sort=time"]
-    states = [(t, FilterState.decode(t)) for t in texts]
-    return _literal(spark, [(t, ",".join(s.selected["slot"]), len(s.selected["heat"]), s.sort, s.query) for t, s in states], "text string, slot string, heats int, sort string, q string")
-
-
-@query(f"SELECT id, updated FROM ({_DERIVED}) WHERE contains(hay, 'honey') AND contains(hay, 'rice')")
+@query(f"SELECT id, updated FROM ({DERIVED}) WHERE contains(hay, 'honey') AND contains(hay, 'rice')")
 def search_all_terms(spark, sf):
     df = _table(spark, sf, "dishes")
     hay = facets.search_text(F.col("title"), F.col("blurb"), F.col("ingredients"))
     return df.where(search.matches_search(hay, " Rice  honey ")).select("id", "updated")
 
 
-@query(f"SELECT q, count(*) AS n FROM ({_DERIVED}), (SELECT unnest(['tortilla', 'Honey oats', 'nowhere rice']) AS q) WHERE list_bool_and(list_transform(string_split(lower(q), ' '), lambda t: contains(hay, t))) GROUP BY q")
+@query(f"SELECT q, count(*) AS n FROM ({DERIVED}), (SELECT unnest(['tortilla', 'Honey oats', 'nowhere rice']) AS q) WHERE list_bool_and(list_transform(string_split(lower(q), ' '), lambda t: contains(hay, t))) GROUP BY q")
 def search_column_query(spark, sf):
     df = _table(spark, sf, "dishes").withColumn("hay", facets.search_text(F.col("title"), F.col("blurb"), F.col("ingredients")))
     asked = df.select("hay", F.explode(F.array(*map(F.lit, ["tortilla", "Honey oats", "nowhere rice"]))).alias("q"))
@@ -176,7 +97,7 @@ def highlight_marked(spark, sf):
 _MODES = {"cal-oz": "cal_oz DESC", "weight": "ouncesperserving ASC", "time": "total_minutes ASC", "calories": "caloriesperserving DESC", "title": "lower(title) ASC"}
 
 
-@query("WITH d AS (" + _DERIVED + ") " + " UNION ALL ".join(f"SELECT '{m}' AS mode, homeprep, id, updated, rank FROM (SELECT *, row_number() OVER (PARTITION BY homeprep ORDER BY {o} NULLS LAST, lower(title) NULLS LAST, id NULLS LAST, updated NULLS LAST) AS rank FROM d) WHERE rank <= 3" for m, o in _MODES.items()))
+@query("WITH d AS (" + DERIVED + ") " + " UNION ALL ".join(f"SELECT '{m}' AS mode, homeprep, id, updated, rank FROM (SELECT *, row_number() OVER (PARTITION BY homeprep ORDER BY {o} NULLS LAST, lower(title) NULLS LAST, id NULLS LAST, updated NULLS LAST) AS rank FROM d) WHERE rank <= 3" for m, o in _MODES.items()))
 def sort_modes_top3(spark, sf):
     """A top-k report: the first three of each sort mode by home preparation."""
     from functools import reduce
@@ -194,102 +115,37 @@ def sort_modes_top3(spark, sf):
     return reduce(DataFrame.unionByName, map(top, vocab.SORTS))
 
 
-@query(f"SELECT id, updated, array_to_string(coalesce(tripstyle, []), '|') AS facet_style, array_to_string(coalesce(dietary, []), '|') AS facet_diet, coalesce(time_bucket, '') AS facet_time, hay AS search_text, cal_oz, total_minutes FROM ({_DERIVED})")
-def card_attributes(spark, sf):
-    return writers.cards(_table(spark, sf, "dishes")).select("id", "updated", "facet_style", "facet_diet", "facet_time", "search_text", "cal_oz", "total_minutes")
-
-
-@query("SELECT id, updated, servings || CASE WHEN coalesce(scalable, true) THEN ', scales' ELSE '' END AS serves, CASE WHEN water IS NULL OR water = 'none' THEN 'none' ELSE coalesce(waterml, 0) || ' ml ' || water END AS water_text, CASE WHEN ouncesperserving = floor(ouncesperserving) THEN CAST(CAST(ouncesperserving AS BIGINT) AS VARCHAR) ELSE format('{:.1f}', ouncesperserving) END AS weight_text FROM dishes")
-def stat_texts(spark, sf):
-    return writers.stats(_table(spark, sf, "dishes"))
-
-
-@query(f"SELECT id, updated, CAST(len(list_filter([len(coalesce(tripstyle, [])) > 0, len(coalesce(slot, [])) > 0, len(coalesce(heatsource, [])) > 0, time_bucket IS NOT NULL, cal_oz_bucket IS NOT NULL, calorie_bucket IS NOT NULL, protein_bucket IS NOT NULL, cleanup IS NOT NULL, len(coalesce(dietary, [])) > 0, homeprep IS NOT NULL, shelflife IS NOT NULL, skill IS NOT NULL, cost IS NOT NULL], lambda x: x)) AS INT) AS n_groups FROM ({_DERIVED})")
-def detail_groups(spark, sf):
-    return writers.detail(_table(spark, sf, "dishes")).select("id", "updated", F.size("groups").alias("n_groups"))
-
-
 @query("""WITH b AS (SELECT id, CAST(floor((row_number() OVER (ORDER BY id) - 1) / 5) AS BIGINT) AS batch FROM cells) SELECT batch, string_agg(id, '|' ORDER BY id) AS content FROM b GROUP BY batch""")
 def job_files(spark, sf):
     batches = crawl.batched(_table(spark, sf, "cells"), [F.col("id").asc()])
     return writers.job_files(batches, "id").select("batch", F.replace("content", F.lit("\n"), F.lit("|")).alias("content"))
 
 
-@query("""SELECT id, updated, array_to_string(list_filter([
- CASE WHEN title IS NULL THEN 'title' END, CASE WHEN blurb IS NULL THEN 'blurb' END, CASE WHEN NOT coalesce(caloriesperserving > 0, false) THEN 'caloriesperserving' END,
- CASE WHEN NOT coalesce(len(ingredients) >= 1, false) THEN 'ingredients' END, CASE WHEN NOT coalesce(NOT list_contains(dietary, 'vegan') OR list_contains(dietary, 'vegetarian'), false) THEN 'vegan-vegetarian' END], lambda x: x IS NOT NULL), ',') AS broken FROM dishes""")
-def validate_rules(spark, sf):
-    rules = {k: r for k, r in (quality.record_rules() | quality.consistency_rules()).items() if k in ("title", "blurb", "caloriesperserving", "ingredients", "vegan-vegetarian")}
-    checked = quality.violations(_table(spark, sf, "dishes"), rules)
-    return checked.select("id", "updated", F.array_join("violations", ",").alias("broken"))
-
-
-@query("SELECT 'skill' AS key, 'basic' AS value, CAST(1 AS BIGINT) AS n WHERE false")
-def vocabulary_unique(spark, sf):
-    return quality.vocabulary_errors(vocab.dimension(spark)).select("key", "value", "n")
-
-
 # ---- web harvest: scalars
 
 
-@query(f"SELECT page_id, canonical FROM ({_CANONICAL})")
+@query(f"SELECT page_id, canonical FROM ({CANONICAL})")
 def canonical_url(spark, sf):
     return _table(spark, sf, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("canonical"))
 
 
-@query(f"SELECT canonical, min(page_id) AS page_id, count(*) AS n FROM ({_CANONICAL}) GROUP BY canonical")
+@query(f"SELECT canonical, min(page_id) AS page_id, count(*) AS n FROM ({CANONICAL}) GROUP BY canonical")
 def canonical_dedup(spark, sf):
     keyed = _table(spark, sf, "pages").select("page_id", urls.canonical_url(F.col("url")).alias("canonical"))
     return keyed.groupBy("canonical").agg(F.min("page_id").alias("page_id"), F.count(F.lit(1)).alias("n"))
 
 
-@query(f"SELECT {_SITE} AS site, count(*) AS n FROM leads WHERE domain IS NOT NULL GROUP BY 1")
+@query(f"SELECT {SITE} AS site, count(*) AS n FROM leads WHERE domain IS NOT NULL GROUP BY 1")
 def site_key(spark, sf):
     return _table(spark, sf, "leads").where("domain is not null").groupBy(urls.site_key(F.col("domain")).alias("site")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(r"SELECT page_id, p <> '/' AND NOT regexp_matches(p, '(?i)\.(jpe?g|png|gif|webp|svg|pdf|zip|mp[34]|mov|css|js|xml|json|ico)$') AND NOT regexp_matches(p, '(?i)/(tag|tags|category|categories|author|page|search|feed|rss|comments?|wp-json|wp-admin|login|signup|cart|checkout|privacy|terms|about|contact)(/|$)') AND regexp_matches(p, '(?i)(recipe|meal|food|cook|dinner|breakfast|lunch|supper|snack|dessert|menu|kitchen|eat|dish|bake|stew|chili|ramen|soup|coffee|dehydrat|freezer.?bag|cold.?soak|provision|galley|rations?)') AS worthy FROM (SELECT page_id, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS p FROM pages)")
-def url_shape(spark, sf):
-    return _table(spark, sf, "pages").select("page_id", urls.looks_like_recipe(F.col("url")).alias("worthy"))
-
-
-_HTML = [
-    (1, "<title>Chili &amp; beans | Tin Pot</title><p>Boil<br>water</p><script>var a = '</p>';</script>"),
-    (2, "<h1>Trail-mix\n bars</h1><style>p{}</style><ul><li>Boil</li><li>Stir</li></ul> &lt;hot&gt;&nbsp;!"),
-    (3, "<title></title><h1>Other</h1>plain   text"),
-    (4, "no markup at all"),
-]
-
-
-@query(rf"""WITH h AS (SELECT * FROM {_values(_HTML, 'id, doc')}), b AS (SELECT id, doc, regexp_replace(regexp_replace(doc, '(?is)<script\b[^>]*>.*?</script>|<style\b[^>]*>.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g') AS bare FROM h)
- SELECT id, trim(regexp_replace(replace(replace(replace(replace(bare, '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g')) AS shown FROM b""")
-def page_text(spark, sf):
-    return _literal(spark, _HTML, "id int, doc string").select("id", html.page_text(F.col("doc")).alias("shown"))
-
-
-@query(f"SELECT * FROM {_values([(1, 'Chili & beans'), (2, 'Trail-mix bars'), (3, ''), (4, '')], 'id, page_title')}")
-def page_title(spark, sf):
-    return _literal(spark, _HTML, "id int, doc string").select("id", html.page_title(F.col("doc")).alias("page_title"))
+_SHAPE = " AND ".join(["p <> '/'", *[f"{no}regexp_matches(p, '{rule}')" for no, rule in (("NOT ", urls.ASSET), ("NOT ", urls.FURNITURE), ("", urls.FOOD))]])
 
 
-_ENTITIES = [(1, "salt &amp; pepper &#39;s", "salt & pepper 's"), (2, "&#x20AC;5 &unknown;", "€5 &unknown;"), (3, "&#38;lt;", "<"), (4, "&#1114112; stays", "&#1114112; stays")]
-
-
-@query(f"SELECT id, plain FROM {_values(_ENTITIES, 'id, s, plain')}")
-def entity_decode(spark, sf):
-    return _literal(spark, _ENTITIES, "id int, s string, plain string").select("id", html.decode_entities(F.col("s")).alias("plain"))
-
-
-_JSONLD = [
-    (1, '<script type="application/ld+json">{"@graph":[{"@type":"WebPage"},{"@type":["Thing","Recipe"],"name":"A","hasPart":{"@type":"Recipe","name":"B"}}]}</script>'),
-    (2, '<script type="application/ld+json">{torn</script><script type="application/ld+json">[{"@type":"Recipe","name":"C"}]</script><script>{"@type":"Recipe"}</script>'),
-    (3, "<p>none</p>"),
-]
-
-
-@query(f"SELECT * FROM {_values([(1, 2), (2, 1), (3, 0)], 'id, recipes')}")
-def jsonld_extract(spark, sf):
-    return _literal(spark, _JSONLD, "id int, doc string").select("id", F.size(html.jsonld_recipes("doc")).alias("recipes"))
+@query(f"SELECT page_id, {_SHAPE} AS worthy FROM (SELECT page_id, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS p FROM pages)")
+def url_shape(spark, sf):
+    return _table(spark, sf, "pages").select("page_id", urls.looks_like_recipe(F.col("url")).alias("worthy"))
 
 
 @query("SELECT page_id, substring(text, 1, 12000) AS kept_text, chars FROM pages WHERE len(coalesce(jsonld, [])) > 0 OR coalesce(chars, length(text), 0) >= 400")
@@ -297,23 +153,19 @@ def page_keep(spark, sf):
     return crawl.kept(_table(spark, sf, "pages")).select("page_id", F.col("text").alias("kept_text"), "chars")
 
 
-@query(f"SELECT page_id, substring(h, 1, 2) || '/' || substring(h, 3, 2) || '/' || h || '.html' AS place FROM (SELECT page_id, sha256(canonical) AS h FROM ({_CANONICAL}))")
+@query(f"SELECT page_id, substring(h, 1, 2) || '/' || substring(h, 3, 2) || '/' || h || '.html' AS place FROM (SELECT page_id, sha256(canonical) AS h FROM ({CANONICAL}))")
 def cache_key(spark, sf):
     return _table(spark, sf, "pages").select("page_id", crawl.cache_key(urls.canonical_url(F.col("url"))).alias("place"))
 
 
 # ---- web harvest: plans
 
-_LEADS_SQL = rf"""SELECT {_SITE} AS domain, lead_id, coalesce(est_recipe_count, 0) AS est, regexp_replace(regexp_extract(url, '^(https?)://', 1) || '://' || lower(regexp_extract(url, '^https?://([^/?#]+)', 1)) || CASE WHEN regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) IN ('', '/') THEN '/' ELSE regexp_replace(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '/+$', '') END || coalesce('?' || nullif(array_to_string(list_sort(list_filter(string_split(regexp_extract(url, '\?([^#]*)', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '(?i)^(utm_|(fbclid|gclid|ref|source)(=|$))'))), '&'), ''), ''), ' ', '') AS seed FROM leads WHERE regexp_matches(url, '^https?://[^/?#]+') AND domain IS NOT NULL"""
-_PLAN_SQL = f"WITH s AS (SELECT domain, seed, sum(est) AS est, min(lead_id) AS ord FROM ({_LEADS_SQL}) GROUP BY ALL), p AS (SELECT domain, string_agg(seed, ' ' ORDER BY ord, seed) AS seeds, CAST(sum(est) AS BIGINT) AS estimate, min(ord) AS first_ord FROM s GROUP BY domain)"
-
-
-@query(_PLAN_SQL + " SELECT domain, seeds, estimate, first_ord FROM p")
+@query(PLAN + " SELECT domain, seeds, estimate, first_ord FROM p")
 def plan_domains(spark, sf):
     return crawl.plan_domains(_table(spark, sf, "leads")).select("domain", F.array_join("seeds", " ").alias("seeds"), "estimate", "first_ord").orderBy(*crawl.plan_order())
 
 
-@query(_PLAN_SQL + " SELECT domain, CAST((row_number() OVER (ORDER BY estimate DESC, first_ord) - 1) % 4 AS INT) AS shard FROM p")
+@query(PLAN + " SELECT domain, CAST((row_number() OVER (ORDER BY estimate DESC, first_ord) - 1) % 4 AS INT) AS shard FROM p")
 def shard_round_robin(spark, sf):
     return crawl.sharded(crawl.plan_domains(_table(spark, sf, "leads")), 4).select("domain", "shard")
 
@@ -339,13 +191,13 @@ def budget_cut(spark, sf):
     return crawl.within_budget(_table(spark, sf, "pages").select("page_id"), [F.col("page_id").asc()])
 
 
-@query(f"WITH c AS ({_CANONICAL}), s AS (SELECT DISTINCT canonical FROM c WHERE stored_at < TIMESTAMP '2025-01-10') SELECT page_id FROM c WHERE canonical NOT IN (SELECT canonical FROM s)")
+@query(f"WITH c AS ({CANONICAL}), s AS (SELECT DISTINCT canonical FROM c WHERE stored_at < TIMESTAMP '2025-01-10') SELECT page_id FROM c WHERE canonical NOT IN (SELECT canonical FROM s)")
 def candidates_anti_seen(spark, sf):
     keyed = _table(spark, sf, "pages").select("page_id", "stored_at", urls.canonical_url(F.col("url")).alias("canonical"))
     return crawl.unseen(keyed, keyed.where(F.col("stored_at") < F.lit("2025-01-10").cast("timestamp_ntz"))).select("page_id")
 
 
-@query(f"WITH l AS (SELECT DISTINCT {_SITE} AS site FROM leads WHERE domain IS NOT NULL) SELECT page_id, {_SITE} IN (SELECT site FROM l) AS is_target FROM pages")
+@query(f"WITH l AS (SELECT DISTINCT {SITE} AS site FROM leads WHERE domain IS NOT NULL) SELECT page_id, {SITE} IN (SELECT site FROM l) AS is_target FROM pages")
 def target_flag(spark, sf):
     """Whether a page's site is the target of a lead: a left join with distinct sites."""
     sites = _table(spark, sf, "leads").where("domain is not null").select(urls.site_key(F.col("domain")).alias("site")).distinct().withColumn("known", F.lit(True))
@@ -353,46 +205,6 @@ def target_flag(spark, sf):
     return pages.join(sites, "site", "left").select("page_id", F.coalesce("known", F.lit(False)).alias("is_target"))
 
 
-@query(f"SELECT * FROM {_values([(1, 1500), (2, 10000), (3, 1500), (4, 3000)], 'id, delay_ms')}")
-def polite_delay(spark, sf):
-    return _literal(spark, [(1, None), (2, 60.0), (3, 0.0), (4, 3.0)], "id int, d double").select("id", crawl.polite_delay(F.col("d")).cast("int").alias("delay_ms"))
-
-
-_ROBOTS = [
-    ("trailpot.example", "User-agent: *\nDisallow: /blog\nAllow: /blog/food\nCrawl-delay: 3"),
-    ("amber-oven1.test", "User-agent: trailgrain\nUser-agent: other\nDisallow: /trail-meals # kept\n\nUser-agent: *\nDisallow: /"),
-    ("fernash23.invalid", "User-agent: *\nDisallow: /*soup\nDisallow: /recipes$\nSitemap: https://fernash23.invalid/map.xml"),
-]
-_RULES = [("trailpot.example", "disallow", "^/blog", 5), ("trailpot.example", "allow", "^/blog/food", 10), ("amber-oven1.test", "disallow", "^/trail-meals", 12), ("fernash23.invalid", "disallow", "^/.*soup", 6), ("fernash23.invalid", "disallow", "^/recipes$", 9)]
-
-
-@query(f"""WITH r AS (SELECT * FROM {_values(_RULES, 'host, kind, re, len')}), p AS (SELECT page_id, {_SITE} AS host, regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1) AS path FROM pages),
- j AS (SELECT page_id, coalesce(max(len) FILTER (WHERE kind = 'allow' AND regexp_matches(path, re)), -1) AS a, coalesce(max(len) FILTER (WHERE kind = 'disallow' AND regexp_matches(path, re)), -1) AS d FROM p LEFT JOIN r USING (host) GROUP BY page_id)
- SELECT page_id, d = -1 OR a >= d AS allowed FROM j""")
-def robots_allowed(spark, sf):
-    hosts = _literal(spark, _ROBOTS, "host string, body string").withColumn("rules", robots.parse_robots("trailgrain")("body"))
-    pages = _table(spark, sf, "pages").select("page_id", urls.site_key(F.col("domain")).alias("host"), urls.url_path(F.col("url")).alias("path"))
-    return robots.allowed(pages, robots.rule_table(hosts), "page_id")
-
-
-_MAPS = [(1, "<urlset><url><loc> https://a.example/x?a=1&amp;b=2 </loc></url><url><loc></loc></url></urlset>"), (2, '<sm:sitemapindex xmlns:sm="x"><sm:sitemap><sm:loc>https://a.example/m1.xml</sm:loc></sm:sitemap></sm:sitemapindex>'), (3, "<rss></rss>")]
-
-
-@query(f"SELECT * FROM {_values([(1, 'https://a.example/x?a=1&b=2', ''), (2, '', 'https://a.example/m1.xml'), (3, '', '')], 'id, found_urls, found_maps')}")
-def sitemap_parse(spark, sf):
-    parsed = _literal(spark, _MAPS, "id int, doc string").select("id", sitemap.parse_sitemap(F.col("doc")).alias("m"))
-    return parsed.select("id", F.array_join("m.urls", " ").alias("found_urls"), F.array_join("m.sitemaps", " ").alias("found_maps"))
-
-
-_EDGES = [("r", "a", 0), ("r", "b", 1), ("a", "c", 0), ("b", "c", 0), ("b", "r", 1), ("c", "d", 0)]
-
-
-@query(f"WITH RECURSIVE e AS (SELECT * FROM {_values(_EDGES, 's, c, o')}), w AS (SELECT 'r' AS sitemap UNION SELECT e.c FROM w JOIN e ON e.s = w.sitemap) SELECT 'x.example' AS domain, sitemap FROM w")
-def sitemap_walk(spark, sf):
-    roots = _literal(spark, [("x.example", "r", 0)], "domain string, sitemap string, ord int")
-    return sitemap.walk(roots, _literal(spark, _EDGES, "sitemap string, child string, child_ord int")).select("domain", "sitemap")
-
-
 @query("""WITH e AS (SELECT event_id, user_id, CAST(epoch_us(ts) // 1000 AS BIGINT) AS at_ms FROM events), n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY at_ms, event_id) - 1 AS k FROM e)
  SELECT event_id, CAST(max(at_ms - 600000 * k) OVER (PARTITION BY user_id ORDER BY at_ms, event_id ROWS UNBOUNDED PRECEDING) + 600000 * k AS BIGINT) AS start_ms FROM n""")
 def throttle_schedule(spark, sf):
@@ -424,6 +236,12 @@ def p5_children(spark, sf):
     return nested.flatten_recipes(_table(spark, sf, "pages"), text=True)
 
 
+@query()
+def p5_tables(spark, sf):
+    """Every object of the recipes in the table of its schema path."""
+    return nested.shred(_table(spark, sf, "pages")).select("page_id", "recipe_no", "table", "dewey", "parent", F.array_sort(F.map_keys("fields")).alias("fields"))
+
+
 @query()
 def p7_found(spark, sf):
     return units.amounts(_table(spark, sf, "pages"), _table(spark, sf, "dishes"), _table(spark, sf, "units"))
@@ -432,3 +250,6 @@ def p7_found(spark, sf):
 @query()
 def p7_unit_shifts(spark, sf):
     return units.unit_shifts(units.bare_energies(_table(spark, sf, "pages")), "domain", "fetched_at", "value", ("page_id", "recipe_no"), factor=4.184)
+
+
+from trailgrain import catalogue_crawl, catalogue_records  # noqa: E402, F401  # they register their queries, with the SQL above

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -41,9 +40,17 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return spread(df).mapInArrow(run, schema)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster shares, from ``spark.checkpoint.dir``; on one machine, where it is unset, a folder of the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names in spark.checkpoint.dir; set one only where none is set (tests)."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or os.path.join(os.getcwd(), "spark-warehouse", "checkpoints"))
+    """Use the shared folder for checkpoints.  A session with ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes them when they are of no more use."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
-# The named entities; an unbreakable space becomes an ordinary one.
+# The named entities (an unbreakable space becomes an ordinary one) and the patterns of entities, hidden elements, titles and blocks.
 ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "amp": "&"}
-_HEX, _DECIMAL = re.compile(r"&#x([0-9a-f]+);", re.IGNORECASE), re.compile(r"&#(\d+);")
+HEX, DECIMAL = r"(?i)&#x([0-9a-f]+);", r"&#([0-9]+);"
+SCRIPT = r"(?is)<(script|style)\b[^>]*>.*?</\1>"
+_HEX, _DECIMAL = re.compile(HEX), re.compile(DECIMAL)
 _NAMED = re.compile(r"&(" + "|".join(ENTITIES) + ");", re.IGNORECASE)
-_SCRIPT = re.compile(r"<(script|style)\b[^>]*>.*?</\1>", re.IGNORECASE | re.DOTALL)
+_SCRIPT = re.compile(SCRIPT)
 _TAG = re.compile(r"<[^>]*>")
 TITLE_SUFFIX = r"(?U)\s+[|•·»–—]\s+.*$|\s+-\s+.*$"
 
@@ -36,33 +38,32 @@ def visible(html: str) -> str:
     return " ".join(decode(_TAG.sub(" ", _SCRIPT.sub(" ", html))).split())
 
 
-@pandas_udf(StringType())
-def _decode(s: pd.Series) -> pd.Series:
-    return s.map(decode, na_action="ignore")
+def _points(text: Column, pattern: str, base: int) -> Column:
+    """``text`` with the numeric entities of a base decoded, each once: the pieces between them and their characters in turn."""
+    def char(digits: Column) -> Column:
+        number = F.try_to_number(F.conv(digits, base, 10), F.lit("99999999999999999999")).cast("long")
+        fits = (F.length(F.regexp_replace(digits, "^0+", "")) <= 8) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        return F.when(fits, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
-
-@pandas_udf(StringType())
-def _visible(s: pd.Series) -> pd.Series:
-    return s.map(visible, na_action="ignore")
+    whole = F.regexp_extract_all(text, F.lit(pattern), 0)
+    digits = F.regexp_extract_all(text, F.lit(pattern), 1)
+    chars = F.zip_with(whole, digits, lambda e, d: F.coalesce(char(d), e))
+    joined = F.array_join(F.zip_with(F.split(text, pattern), chars, lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
+    return F.when(text.rlike(pattern), joined).otherwise(text)
 
 
 def decode_entities(text: Column) -> Column:
-    """Named entities in the JVM; only texts with numeric ones are sent to Python."""
-    named = text
-    for name, plain in ENTITIES.items():  # the ampersand is last, so that nothing is decoded twice
-        named = F.regexp_replace(named, f"(?i)&{name};", plain)
-    numeric = text.rlike("(?i)&#(x[0-9a-f]+|[0-9]+);")
-    return F.when(numeric, _decode(F.when(numeric, text))).otherwise(named)
+    """Hexadecimal, then decimal, then named entities, once each, in built-in expressions; unknown ones and code points beyond Unicode stay."""
+    plain = _points(_points(text, HEX, 16), DECIMAL, 10)
+    for name, char in ENTITIES.items():  # the ampersand is last, so that nothing is decoded twice
+        plain = F.regexp_replace(plain, f"(?i)&{name};", char)
+    return plain
 
 
 def page_text(html: Column) -> Column:
     """What a page shows: without scripts and styles, a space for each tag, entities decoded, white space collapsed."""
-    numeric = html.rlike("(?i)&#(x[0-9a-f]+|[0-9]+);")
-    bare = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1>", " "), "<[^>]*>", " ")
-    for name, plain in ENTITIES.items():
-        bare = F.regexp_replace(bare, f"(?i)&{name};", plain)
-    collapsed = F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
-    return F.when(numeric, _visible(F.when(numeric, html))).otherwise(collapsed)
+    bare = F.regexp_replace(F.regexp_replace(html, SCRIPT, " "), "<[^>]*>", " ")
+    return F.trim(F.regexp_replace(decode_entities(bare), r"(?U)\s+", " "))
 
 
 def page_title(html: Column) -> Column:
@@ -79,21 +80,19 @@ def recipes(html: str) -> list[str]:
     """The JSON of every Recipe node of every block, in document order, nested ones after those around them; malformed blocks are skipped."""
     out: list[str] = []
 
-    def visit(node: object) -> None:
-        if isinstance(node, list):
-            for x in node:
-                visit(x)
-        elif isinstance(node, dict):
-            kind = node.get("@type")
-            if kind == "Recipe" or isinstance(kind, list) and "Recipe" in kind:
-                out.append(json.dumps(node, ensure_ascii=False))
-            for x in node.values():
-                visit(x)
-
     for block in _JSONLD.findall(html):
         try:
-            visit(json.loads(block))
-        except (ValueError, RecursionError):
+            waiting = [json.loads(block)]
+            while waiting:
+                node = waiting.pop()
+                if isinstance(node, dict):
+                    kind = node.get("@type")
+                    if kind == "Recipe" or isinstance(kind, list) and "Recipe" in kind:
+                        out.append(json.dumps(node, ensure_ascii=False))
+                    node = list(node.values())
+                if isinstance(node, list):
+                    waiting += reversed(node)
+        except (ValueError, RecursionError):  # json.dumps of a node nested beyond the interpreter's depth
             continue
     return out
 

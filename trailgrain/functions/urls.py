@@ -5,11 +5,8 @@ from __future__ import annotations
 import re
 from urllib.parse import parse_qsl, quote, quote_plus
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 # Parameters that identify a click or campaign; a seed's list is shorter.
 TRACKING = r"(?i)^(utm_|fbclid$|gclid$|mc_(cid|eid)$|igshid$|_ga$|ref$|source$)"
@@ -20,11 +17,23 @@ FURNITURE = r"(?i)/(tag|tags|category|categories|author|page|search|feed|rss|com
 ASSET = r"(?i)\.(jpe?g|png|gif|webp|svg|pdf|zip|mp[34]|mov|css|js|xml|json|ico)$"
 PORTS = {"http": "80", "https": "443"}
 
-#: URLs that need no re-encoding: everything in them is plain.
-CLEAN = r"^https?://[A-Za-z0-9.\-]+(:[0-9]+)?(/[A-Za-z0-9._~/\-]*)?(\?[A-Za-z0-9._=&*\-]*)?(#.*)?$"
 _PARTS = re.compile(r"([A-Za-z][A-Za-z0-9+.\-]*):(?://|[\\/]{2})(?:[^/?#\\@]*@)?([^/?#\\]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?", re.DOTALL)
 
 
+def without_dots(path: str) -> str:
+    """A path without its ``.`` and ``..`` segments; ``..`` takes the segment before it along, and the root stays."""
+    kept: list[str] = []
+    segments = path.split("/")[1:]
+    for i, segment in enumerate(segments):
+        if segment == "..":
+            kept = kept[:-1]
+        elif segment != ".":
+            kept.append(segment)
+        if segment in (".", "..") and i == len(segments) - 1:
+            kept.append("")
+    return "/" + "/".join(kept) if segments else path
+
+
 def canonical(url: str | None, tracking: str = TRACKING) -> str | None:
     """scheme://host[:port]path?query in lower-case host, without fragment, user, default port or tracking parameters, parameters sorted by name; what can't be parsed comes back as it is."""
     if url is None:
@@ -36,8 +45,9 @@ def canonical(url: str | None, tracking: str = TRACKING) -> str | None:
     name, _, port = host.partition(":")
     if not name or re.search(r"[\s<>^|%\[\]]", name) or port and not port.isdigit():
         return url
-    host = name if not port or port == PORTS.get(scheme) else f"{name}:{int(port)}"
-    path = quote(m[3].replace("\\", "/"), safe="/%:@!$&'()*+,;=~-._[]|^") or "/"
+    port = port.lstrip("0") or port[:1]
+    host = name if not port or port == PORTS.get(scheme) else f"{name}:{port}"
+    path = without_dots(quote(m[3].replace("\\", "/"), safe="/%:@!$&'()*+,;=~-._[]|^")) or "/"
     path = path if path == "/" else path.rstrip("/")
     drop = re.compile(tracking)
     pairs = sorted(((k, v) for k, v in parse_qsl(m[4] or "", keep_blank_values=True) if not drop.search(k)), key=lambda kv: kv[0].encode("utf-16-be"))
@@ -45,37 +55,59 @@ def canonical(url: str | None, tracking: str = TRACKING) -> str | None:
     return f"{scheme}://{host}{path}{'?' + query if query else ''}"
 
 
-def _general(tracking: str):
-    @pandas_udf(StringType())
-    def general(urls: pd.Series) -> pd.Series:
-        return urls.map(lambda u: canonical(u, tracking), na_action="ignore")
+_WHOLE = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*):(?://|[\\/]{2})(?:[^/?#\\@]*@)?([^/?#\\]*)([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
+_HOST = r"^[^\s<>^|%\[\]:]+(:[0-9]*)?$"
+_UNSAFE = r"[^A-Za-z0-9/%:@!$&'()*+,;=~\-._\[\]|^]"
+
+
+def _path(raw: Column) -> Column:
+    """A path with unsafe characters encoded and dot segments resolved; most paths have neither and stay as they are."""
+    slashed = F.replace(raw, F.lit("\\"), F.lit("/"))
+    encoded = F.array_join(F.transform(F.split(slashed, ""), lambda c: F.when(c.rlike(_UNSAFE), F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))).otherwise(c)), "")
+    safe = F.when(slashed.rlike(_UNSAFE), encoded).otherwise(slashed)
+    none = F.array().cast("array<string>")
+    segments = F.split(safe, "/")
+    count = F.size(segments)
+
+    def step(kept: Column, segment: Column) -> Column:
+        return F.when(segment == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(segment == ".", kept).otherwise(F.concat(kept, F.array(segment)))
+
+    kept = F.aggregate(F.slice(segments, 2, F.greatest(count - 1, F.lit(0))), none, step)
+    closed = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+    resolved = F.when(safe.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(closed, "/"))).otherwise(safe)
+    return F.when(resolved.isin("", "/"), F.lit("/")).otherwise(F.regexp_replace(resolved, "/+$", ""))
+
+
+def _query(raw: Column, tracking: str) -> Column:
+    """Form encoding of the parameters that don't track, sorted by name, equal names in their order."""
+
+    def decoded(s: Column) -> Column:
+        return F.coalesce(F.try_url_decode(s), F.replace(s, F.lit("+"), F.lit(" ")))
 
-    return general
+    parts = F.filter(F.split(raw, "&"), lambda p: p != "")
+    named = F.transform(parts, lambda p, i: F.struct(decoded(F.regexp_replace(p, "(?s)=.*$", "")).alias("name"), i.alias("at"), decoded(F.regexp_extract(p, "(?s)=(.*)$", 1)).alias("value")))
+    kept = F.array_sort(F.filter(named, lambda p: ~p["name"].rlike(tracking)))
+    return F.array_join(F.transform(kept, lambda p: F.concat(F.url_encode(p["name"]), F.lit("="), F.url_encode(p["value"]))), "&")
 
 
 def canonical_url(url: Column, tracking: str = TRACKING) -> Column:
-    """The same as ``canonical``, in built-in expressions for plain URLs; only the others are sent to Python."""
-    clean = url.rlike(CLEAN)
-    base = F.regexp_replace(F.regexp_replace(url, "#.*$", ""), r"\?.*$", "")
-    scheme = F.regexp_extract(base, "^(https?)://", 1)
-    host = F.lower(F.regexp_extract(base, "^https?://([^/]+)", 1))
-    host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).otherwise(F.regexp_replace(host, ":443$", ""))
-    path = F.regexp_extract(base, "^https?://[^/]+(.*)$", 1)
-    path = F.when(path.isin("", "/"), F.lit("/")).otherwise(F.regexp_replace(path, "/+$", ""))
-    raw = F.split(F.regexp_extract(F.regexp_replace(url, "#.*$", ""), r"\?(.*)$", 1), "&")
-    pairs = F.transform(
-        F.filter(raw, lambda p: (p != "") & ~F.regexp_replace(p, "=.*$", "").rlike(tracking)),
-        lambda p, i: F.struct(F.regexp_replace(p, "=.*$", "").alias("name"), i.alias("at"), F.regexp_extract(p, "=(.*)$", 1).alias("value")),
-    )
-    query = F.array_join(F.transform(F.array_sort(pairs), lambda p: F.concat(p["name"], F.lit("="), p["value"])), "&")
-    plain = F.concat(scheme, F.lit("://"), host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
-    return F.when(clean, plain).otherwise(_general(tracking)(F.when(~clean, url)))
-
-
-def canonical_plain(url: Column, tracking: str = TRACKING) -> Column:
-    """``canonical_url`` for columns that hold plain URLs only, without any Python; null for others."""
-    whole = canonical_url(url, tracking)
-    return F.when(url.rlike(CLEAN), whole)
+    """The same as ``canonical``, in built-in expressions: no row goes to Python."""
+    plain = F.regexp_replace(url, r"(?U)^\s+|\s+$", "")
+    scheme = F.lower(F.regexp_extract(plain, _WHOLE, 1))
+    host = F.lower(F.regexp_extract(plain, _WHOLE, 2))
+    port = F.regexp_replace(F.regexp_extract(host, ":([0-9]*)$", 1), "^0+(?=[0-9])", "")
+    name = F.regexp_replace(host, ":[0-9]*$", "")
+    default = (port == "") | ((scheme == "http") & (port == PORTS["http"])) | ((scheme == "https") & (port == PORTS["https"]))
+    shown = F.when(default, name).otherwise(F.concat(name, F.lit(":"), port))
+    query = _query(F.regexp_extract(plain, _WHOLE, 4), tracking)
+    whole = F.concat(scheme, F.lit("://"), shown, _path(F.regexp_extract(plain, _WHOLE, 3)), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    return F.when(plain.rlike(_WHOLE) & host.rlike(_HOST), whole).otherwise(url)
+
+
+def origin(url: Column) -> Column:
+    """scheme://host[:port] of a canonical URL, null for what isn't one."""
+    found = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+)", 1)
+    return F.when(found != "", found)
 
 
 def url_host(url: Column) -> Column:

@@ -13,34 +13,162 @@ class Facet:
     label: str
     group: str
     options: tuple[tuple[str, str], ...]
-    hint: str | None = None
 
     @property
     def values(self) -> list[str]:
         return [v for v, _ in self.options]
 
 
-def options(values: str, labels: str) -> tuple[tuple[str, str], ...]:
-    """Ordered (value, label) pairs; a missing label is the value itself."""
-    names = labels.split("|")
-    return tuple((v, names[i] if i < len(names) and names[i] else v) for i, v in enumerate(values.split()))
-
-
 FACETS = (
-    Facet("style", "Trip style", "core", options("car-camping backpacking thru-hike bikepacking basecamp day-hike winter paddle", "Car camping|Backpacking|Thru-hike|Bikepacking|Basecamp|Day hike|Winter / snow|Canoe / raft")),
-    Facet("slot", "Time of day", "core", options("breakfast lunch dinner snack dessert drink", "Breakfast|Lunch|Dinner|Snack|Dessert|Drink")),
-    Facet("heat", "What you cook on", "core", options("no-cook cold-soak canister-stove alcohol-esbit liquid-fuel campfire grill-grate dutch-oven cooler-only", "No cook|Cold soak|Canister stove|Alcohol / Esbit|Liquid fuel|Campfire coals|Grill grate|Dutch oven|Cooler only")),
-    Facet("time", "Total time", "more", options("lt5 5-15 15-30 30plus", "Under 5 min|5 to 15 min|15 to 30 min|30 min or more"), "Prep plus active cooking."),
-    Facet("caloz", "Calories per ounce", "more", options("lt100 100-125 125plus", "Under 100|100 to 125|125 and up")),
-    Facet("cal", "Calories per serving", "more", options("lt400 400-700 700plus", "Under 400|400 to 700|700 and up")),
-    Facet("protein", "Protein per serving", "more", options("lt10 10-20 20plus", "Under 10 g|10 to 20 g|20 g and up")),
-    Facet("cleanup", "Cleanup", "more", options("in-bag one-pot foil-packet dishes", "Eat in the bag|One pot|Foil packet|Real dishes")),
-    Facet("diet", "Dietary", "more", options("vegetarian vegan gluten-free dairy-free nut-free", "Vegetarian|Vegan|Gluten free|Dairy free|Nut free")),
-    Facet("prep", "Home prep", "more", options("grab-and-go premix dehydrate", "Grab and go|Pre-mix at home|Dehydrate ahead")),
-    Facet("shelf", "Keeps for", "more", options("shelf-stable cooler day-one", "Shelf stable|Needs a cooler|Day one only")),
-    Facet("skill", "Effort", "more", options("dump-and-stir basic cooking", "Dump and stir|Basic|Actual cooking")),
-    Facet("cost", "Cost per serving", "more", options("$ $$ $$$", "")),
-)
+    Facet(
+        "style",
+        "Trip style",
+        "core",
+        (
+            ("car-camping", "Car camping"),
+            ("backpacking", "Backpacking"),
+            ("thru-hike", "Thru-hike"),
+            ("bikepacking", "Bikepacking"),
+            ("basecamp", "Basecamp"),
+            ("day-hike", "Day hike"),
+            ("winter", "Winter / snow"),
+            ("paddle", "Canoe / raft"),
+        ),
+    ),
+    Facet(
+        "slot",
+        "Time of day",
+        "core",
+        (
+            ("breakfast", "Breakfast"),
+            ("lunch", "Lunch"),
+            ("dinner", "Dinner"),
+            ("snack", "Snack"),
+            ("dessert", "Dessert"),
+            ("drink", "Drink"),
+        ),
+    ),
+    Facet(
+        "heat",
+        "What you cook on",
+        "core",
+        (
+            ("no-cook", "No cook"),
+            ("cold-soak", "Cold soak"),
+            ("canister-stove", "Canister stove"),
+            ("alcohol-esbit", "Alcohol / Esbit"),
+            ("liquid-fuel", "Liquid fuel"),
+            ("campfire", "Campfire coals"),
+            ("grill-grate", "Grill grate"),
+            ("dutch-oven", "Dutch oven"),
+            ("cooler-only", "Cooler only"),
+        ),
+    ),
+    Facet(
+        "time",
+        "Total time",
+        "more",
+        (
+            ("lt5", "Under 5 min"),
+            ("5-15", "5 to 15 min"),
+            ("15-30", "15 to 30 min"),
+            ("30plus", "30 min or more"),
+        ),
+    ),
+    Facet(
+        "caloz",
+        "Calories per ounce",
+        "more",
+        (
+            ("lt100", "Under 100"),
+            ("100-125", "100 to 125"),
+            ("125plus", "125 and up"),
+        ),
+    ),
+    Facet(
+        "cal",
+        "Calories per serving",
+        "more",
+        (
+            ("lt400", "Under 400"),
+            ("400-700", "400 to 700"),
+            ("700plus", "700 and up"),
+        ),
+    ),
+    Facet(
+        "protein",
+        "Protein per serving",
+        "more",
+        (
+            ("lt10", "Under 10 g"),
+            ("10-20", "10 to 20 g"),
+            ("20plus", "20 g and up"),
+        ),
+    ),
+    Facet(
+        "cleanup",
+        "Cleanup",
+        "more",
+        (
+            ("in-bag", "Eat in the bag"),
+            ("one-pot", "One pot"),
+            ("foil-packet", "Foil packet"),
+            ("dishes", "Real dishes"),
+        ),
+    ),
+    Facet(
+        "diet",
+        "Dietary",
+        "more",
+        (
+            ("vegetarian", "Vegetarian"),
+            ("vegan", "Vegan"),
+            ("gluten-free", "Gluten free"),
+            ("dairy-free", "Dairy free"),
+            ("nut-free", "Nut free"),
+        ),
+    ),
+    Facet(
+        "prep",
+        "Home prep",
+        "more",
+        (
+            ("grab-and-go", "Grab and go"),
+            ("premix", "Pre-mix at home"),
+            ("dehydrate", "Dehydrate ahead"),
+        ),
+    ),
+    Facet(
+        "shelf",
+        "Keeps for",
+        "more",
+        (
+            ("shelf-stable", "Shelf stable"),
+            ("cooler", "Needs a cooler"),
+            ("day-one", "Day one only"),
+        ),
+    ),
+    Facet(
+        "skill",
+        "Effort",
+        "more",
+        (
+            ("dump-and-stir", "Dump and stir"),
+            ("basic", "Basic"),
+            ("cooking", "Actual cooking"),
+        ),
+    ),
+    Facet(
+        "cost",
+        "Cost per serving",
+        "more",
+        (
+            ("$", "$"),
+            ("$$", "$$"),
+            ("$$$", "$$$"),
+        ),
+    ),
+)
 FACET_KEYS = [f.key for f in FACETS]
 ALL_VALUES = {f.key: f.values for f in FACETS}
 WATER = ("none", "cold", "boiled")

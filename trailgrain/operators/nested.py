@@ -49,25 +49,38 @@ def _blank(node: object) -> bool:
     return node is None or isinstance(node, str) and not node.strip()
 
 
-def _visit(value: object, label: Label, path: str, out: list[Node]) -> None:
-    """Append the nodes below ``value`` in reading order; null and blank ones use up an ordinal but give no node."""
+def _members(value: object, path: str) -> list:
+    """A value as a list: lines of a string, a list as it is, a single value as a list of one."""
     if isinstance(value, str) and path in LINES:
-        value = value.replace("\r", "\n").split("\n")
-    elif not isinstance(value, list):
-        value = [value]
-    for i, node in enumerate(value):
-        at = (*label, i)
+        return value.replace("\r", "\n").split("\n")
+    return value if isinstance(value, list) else [value]
+
+
+def _visit(value: object, label: Label, path: str, out: list[Node]) -> None:
+    """Append the nodes below ``value`` in reading order; null and blank ones use up an ordinal but give no node.
+
+    What is still to be visited is on a list, so records nested however deep are read.
+    """
+    waiting: list[Node] = []
+
+    def below(value: object, label: Label) -> None:
+        members = _members(value, path)
+        waiting.extend(((*label, i), path, members[i]) for i in range(len(members) - 1, -1, -1))
+
+    below(value, label)
+    while waiting:
+        at, _, node = waiting.pop()
         if _blank(node):
             continue
         if isinstance(node, list):
-            _visit(node, at, path, out)
+            below(node, at)
         elif path != "method":
             out.append((at, path, node))
         elif has_type(node, "HowToSection"):
             out.append((at, "section", node))
-            _visit(node.get(CHILDREN), at, path, out)
+            below(node.get(CHILDREN), at)
         elif isinstance(node, dict) and CHILDREN in node and not has_type(node, "HowToStep"):
-            _visit(node[CHILDREN], at, path, out)  # a plain list in an envelope
+            below(node[CHILDREN], at)  # a plain list in an envelope
         else:
             out.append((at, "step", node))
 
@@ -142,3 +155,77 @@ def flatten_recipes(pages: DataFrame, key: str = "page_id", column: str = "jsonl
     schema = f"key {kind}, recipe_no int, child string, parent_no int, child_no int" + ", dewey string, content string" * text
     part = pages.where(pages[column].isNotNull()).select(pages[key].alias("key"), pages[column].alias("elements"))
     return map_batches(part, run, schema).withColumnRenamed("key", key)
+
+
+def shredded(record: object) -> list[tuple[str, Label, dict[str, str]]]:
+    """(table, label, values) of every object in ``record``, in reading order, whatever its schema.
+
+    The table is the schema path: the keys from the root, joined with dots; lists
+    add ordinals to the label but nothing to the path.  Single values, and lists
+    of them, go to a table of their own under the key ``value`` only if they are
+    in a list; others are columns of the object around them.
+    """
+    out: list[tuple[str, Label, dict[str, str]]] = []
+    waiting: list[tuple[object, Label, str]] = [(record, (0,), "")]
+    while waiting:
+        node, label, path = waiting.pop()
+        if isinstance(node, dict):
+            plain, inner = {}, []
+            for k, (key, value) in enumerate(node.items()):
+                if isinstance(value, (dict, list)):
+                    inner.append((value, (*label, k), f"{path}.{key}" if path else key))
+                elif value is not None:
+                    plain[key] = _shown(value)
+            out.append((path, label, plain))
+            waiting += reversed(inner)
+        elif isinstance(node, list):
+            waiting += [(x, (*label, i), path) for i, x in reversed(list(enumerate(node))) if x is not None]
+        else:
+            out.append((path, label, {"value": _shown(node)}))
+    return out
+
+
+def _shown(value: object) -> str:
+    text = value if isinstance(value, str) else json.dumps(value)
+    return text.encode("utf-8", "replace").decode()
+
+
+def shred(records: DataFrame, key: str = "page_id", column: str = "jsonld") -> DataFrame:
+    """Every object of the JSON in an array column as a row of the table of its schema path.
+
+    ``key``, ``recipe_no`` (the element's place), ``table`` (the schema path, ''
+    for the root), ``dewey``, ``parent`` (the label of the nearest object around
+    it, by truncation; null for a root) and ``fields``, a map of its single values.
+    Unreadable elements, nulls and empty lists give no rows; repeated rows give
+    repeated results.  ``tables`` splits the result.
+    """
+    kind = records.schema[key].dataType.simpleString()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, number, table, dewey, parent, fields = [], [], [], [], [], []
+        for row, elements in enumerate(batch.column(1).to_pylist()):
+            for no, element in enumerate(elements or ()):
+                record = read_json(element)
+                nodes = shredded(record) if record is not None else []
+                known = {label for _, label, _ in nodes}
+                for path, label, values in nodes:
+                    above = label[:-1]
+                    while above and above not in known:
+                        above = above[:-1]
+                    owner.append(row)
+                    number.append(no)
+                    table.append(path)
+                    dewey.append(".".join(map(str, label)))
+                    parent.append(".".join(map(str, above)) if above else None)
+                    fields.append(list(values.items()))
+        columns = [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(number, pa.int32()), pa.array(table, pa.string()), pa.array(dewey, pa.string()), pa.array(parent, pa.string()), pa.array(fields, pa.map_(pa.string(), pa.string()))]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "recipe_no", "table", "dewey", "parent", "fields"])
+
+    part = records.where(records[column].isNotNull()).select(records[key].alias("key"), records[column].alias("elements"))
+    return map_batches(part, run, f"key {kind}, recipe_no int, `table` string, dewey string, parent string, fields map<string,string>").withColumnRenamed("key", key)
+
+
+def tables(shreds: DataFrame, paths: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """A flat table for each schema path of ``paths``: the links and the named fields as columns."""
+    links = [c for c in shreds.columns if c not in ("table", "fields")]
+    return {path: shreds.where(shreds["table"] == path).select(*links, *[shreds["fields"][f].alias(f) for f in fields]) for path, fields in paths.items()}

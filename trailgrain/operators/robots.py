@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType, StringType, StructType
@@ -77,10 +77,20 @@ def rule_table(hosts: DataFrame, host: str = "host", rules: str = "rules") -> Da
 def allowed(urls: DataFrame, rules: DataFrame, key: str, host: str = "host", path: str = "path") -> DataFrame:
     """``key`` and ``allowed``: the longest matching rule wins, a tie allows, and what no rule forbids is allowed.
 
-    The join is on the host; the patterns are tried on what meets there, and
-    folded to one row a URL.
+    A host's rules, as many as its robots.txt has, are one array; each URL meets
+    its host's array in one join and folds it in place, so no URL is grouped.
     """
-    named = rules.select(F.col("host").alias("_host"), "kind", "regex", "length")
-    joined = urls.select(key, host, path).join(named, (F.col(host) == F.col("_host")) & F.rlike(F.col(path), F.col("regex")), "left")
-    longest = {k: F.coalesce(F.max(F.when(F.col("kind") == k, F.col("length"))), F.lit(-1)) for k in ("allow", "disallow")}
-    return joined.groupBy(key).agg(longest["allow"].alias("a"), longest["disallow"].alias("d")).select(key, ((F.col("d") == -1) | (F.col("a") >= F.col("d"))).alias("allowed"))
+    named = rules.groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.struct("kind", "regex", "length")).alias("_rules"))
+    joined = urls.select(key, host, path).join(named, F.col(host) == F.col("_host"), "left")
+    return joined.select(key, decide(F.col("_rules"), F.col(path)).alias("allowed"))
+
+
+def decide(rules: Column, path: Column) -> Column:
+    """Whether ``rules``, an array of kind, regex and length, allow a path; a null array forbids nothing."""
+
+    def longest(kind: str) -> Column:
+        hits = F.filter(rules, lambda r: (r["kind"] == kind) & F.rlike(path, r["regex"]))
+        return F.coalesce(F.array_max(F.transform(hits, lambda r: r["length"])), F.lit(-1))
+
+    forbids = longest("disallow")
+    return (forbids == -1) | (longest("allow") >= forbids)

@@ -1,11 +1,13 @@
-"""All-terms text search, hit ranges and highlighting, in built-in expressions."""
+"""All-terms text search, hit ranges and highlighting, in built-in expressions but for the hit ranges."""
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 
 def terms(query: str | None) -> list[str]:
@@ -24,43 +26,69 @@ def matches_search(haystack: Column, query: str | Column) -> Column:
     return F.forall(split, lambda t: F.contains(hay, t))
 
 
+_RANGES = "array<struct<start:int,end:int>>"
+
+
+def hit_ranges(text: str, wanted: Sequence[str]) -> list[tuple[int, int]]:
+    """The merged hits of all terms in a lower-case text: one pass for each term, and a sort of the hits."""
+    hits = []
+    for term in wanted:
+        at = text.find(term)
+        while at >= 0:
+            hits.append((at, at + len(term)))
+            at = text.find(term, at + 1)
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(hits):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return merged
+
+
 def match_ranges(text: Column, query: str) -> Column:
-    """array<struct<start,end>> of the hits of all terms, half-open; hits may overlap themselves, and overlapping or touching ones are merged."""
-    low = F.lower(text)
-    kind = "array<struct<start:int,end:int>>"
+    """array<struct<start,end>> of the hits of all terms, half-open; hits may overlap themselves, and overlapping or touching ones are merged.
+
+    Null for a null text, empty for a blank query.  An Arrow kernel, as
+    expressions take time in the square of a text's length.
+    """
+    wanted = list(dict.fromkeys(terms(query)))
+    if not wanted:
+        return F.when(text.isNotNull(), F.array().cast(_RANGES))
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
-    def hits_of(term: str) -> Column:
-        places = F.sequence(F.lit(0), F.greatest(F.length(low) - len(term), F.lit(0)))
-        at = F.filter(places, lambda i: F.substring(low, i + 1, F.lit(len(term))) == term)
-        return F.transform(at, lambda i: F.struct(i.alias("start"), (i + len(term)).alias("end")))
+    @arrow_udf(_RANGES)
+    def ranges(lowered: pa.Array) -> pa.Array:
+        found = [None if t is None else [{"start": a, "end": b} for a, b in hit_ranges(t, wanted)] for t in lowered.to_pylist()]
+        return pa.array(found, kind)
 
-    found = [hits_of(t) for t in dict.fromkeys(terms(query))]
-    if not found:
-        return F.when(text.isNotNull(), F.array().cast(kind))
-    hits = F.array_sort(F.array_distinct(F.flatten(F.array(*found)))).cast(kind)
+    return ranges(F.lower(text))
 
-    def merge(done: Column, hit: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], hit["end"]).alias("end"))))
-        return F.when((F.size(done) > 0) & (hit["start"] <= F.get(done, F.size(done) - 1)["end"]), joined).otherwise(F.concat(done, F.array(hit)))
 
-    return F.when(text.isNotNull(), F.aggregate(hits, F.array().cast(kind), lambda done, hit: merge(done, hit).cast(kind)))
+_SEGMENTS = "array<struct<text:string,hit:boolean>>"
+
+
+def segments(text: str, ranges: Sequence[tuple[int, int]]) -> list[tuple[str, bool]]:
+    """``text`` in pieces, hits and what is between them; an empty text is one empty piece."""
+    out, at = [], 0
+    for start, end in ranges:
+        out += [(text[at:start], False), (text[start:end], True)]
+        at = end
+    out.append((text[at:], False))
+    return [s for s in out if s[0]] or [(text, False)]
 
 
 def highlight(text: Column, query: str) -> Column:
-    """array<struct<text,hit>> that rejoins to ``text``; one plain segment where nothing matches."""
-    ranges = match_ranges(text, query)
-    kind = "array<struct<text:string,hit:boolean>>"
-    state = f"struct<at:int,out:{kind}>"
+    """array<struct<text,hit>> that rejoins to ``text``; one plain segment where nothing matches, null for a null text."""
+    wanted = list(dict.fromkeys(terms(query)))
+    kind = pa.list_(pa.struct([("text", pa.string()), ("hit", pa.bool_())]))
 
-    def segment(a: Column, b: Column, hit: bool) -> Column:
-        part = F.substring(text, a + 1, b - a)
-        return F.when(b > a, F.array(F.struct(part.alias("text"), F.lit(hit).alias("hit")))).otherwise(F.array().cast(kind))
+    @arrow_udf(_SEGMENTS)
+    def pieces(plain: pa.Array, lowered: pa.Array) -> pa.Array:
+        rows = zip(plain.to_pylist(), lowered.to_pylist(), strict=True)
+        return pa.array([None if t is None else [{"text": s, "hit": h} for s, h in segments(t, hit_ranges(low, wanted))] for t, low in rows], kind)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")).cast(state)
-    walked = F.aggregate(ranges, start, lambda s, r: F.struct(r["end"].alias("at"), F.concat(s["out"], segment(s["at"], r["start"], False), segment(r["start"], r["end"], True)).alias("out")).cast(state))
-    whole = F.concat(walked["out"], segment(walked["at"], F.length(text), False))
-    return F.when(F.size(whole) > 0, whole).when(text.isNotNull(), F.array(F.struct(text.alias("text"), F.lit(False).alias("hit"))))
+    return pieces(text, F.lower(text))
 
 
 def marked(text: Column, query: str, opening: str = "<mark>", closing: str = "</mark>") -> Column:
@@ -70,8 +98,3 @@ def marked(text: Column, query: str, opening: str = "<mark>", closing: str = "</
         return F.replace(F.replace(F.replace(s, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
     return F.array_join(F.transform(highlight(text, query), lambda s: F.when(s["hit"], F.concat(F.lit(opening), escaped(s["text"]), F.lit(closing))).otherwise(escaped(s["text"]))), "")
-
-
-def like_any(words: list[str]) -> str:
-    """A regular expression of literal words."""
-    return "|".join(map(re.escape, words))

@@ -52,20 +52,10 @@ def within_budget(df: DataFrame, order: list[Column], budget: int = BUDGET) -> D
     return df.orderBy(*order).limit(budget)
 
 
-def first_by_key(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The first row of every ``key``: a partial aggregate before the shuffle, no window."""
-    return df.groupBy(key).agg(F.min_by(F.struct("*"), F.struct(order)).alias("_row")).select("_row.*")
-
-
 def unseen(candidates: DataFrame, seen: DataFrame, key: str = "canonical") -> DataFrame:
     return candidates.join(seen.select(key).distinct(), key, "left_anti")
 
 
-def worthy(candidates: DataFrame) -> DataFrame:
-    """Candidates that are seeds or look like recipes."""
-    return candidates.where(F.col("is_seed") | urls.looks_like_recipe(F.col("url")))
-
-
 def kept(pages: DataFrame) -> DataFrame:
     """Pages with embedded recipes or enough text; the text is cut, its full length kept."""
     enough = (F.size(F.coalesce("jsonld", F.array().cast("array<string>"))) > 0) | (F.coalesce("chars", F.length("text"), F.lit(0)) >= KEEP_CHARS)

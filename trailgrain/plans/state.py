@@ -2,16 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 from urllib.parse import parse_qsl, urlencode
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailgrain.functions import vocab
 from trailgrain.operators import facets, ordering, search
 
 
+def encode_column(selected: Mapping[str, Column], query: Column, sort: Column) -> Column:
+    """The query strings of many states: ``FilterState.encode`` in built-in expressions; null selections, texts and sorts count as absent."""
+    parts = []
+    for key in vocab.FACET_KEYS:
+        if key in selected:
+            own = selected[key]
+            narrows = F.coalesce((F.size(own) > 0) & (F.size(own) < len(vocab.ALL_VALUES[key])), F.lit(False))
+            parts.append(F.when(narrows, F.concat(F.lit(f"{key}="), F.url_encode(F.array_join(own, ",")))))
+    asked = F.regexp_replace(query, r"(?U)^\s+|\s+$", "")
+    parts.append(F.when(asked != "", F.concat(F.lit("q="), F.url_encode(asked))))
+    parts.append(F.when(sort != vocab.DEFAULT_SORT, F.concat(F.lit("sort="), F.url_encode(sort))))
+    joined = F.concat_ws("&", *parts)
+    return F.when(joined == "", F.lit("")).otherwise(F.concat(F.lit("?"), joined))
+
+
+def decode_column(text: Column) -> Column:
+    """struct<facet keys..., q, sort> of a query string: ``FilterState.decode`` in built-in expressions; a null text has no parameters."""
+    pairs = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"^\?", ""), "&")
+
+    def first(name: str) -> Column:
+        values = F.transform(F.filter(pairs, lambda p: F.regexp_replace(p, "(?s)=.*$", "") == name), lambda p: F.regexp_replace(p, "(?s)^[^=]*=?", ""))
+        raw = F.get(values, F.lit(0))
+        return F.coalesce(F.try_url_decode(raw), raw, F.lit(""))
+
+    def chosen(key: str) -> Column:
+        everything = F.array(*map(F.lit, vocab.ALL_VALUES[key]))
+        valid = F.filter(F.transform(F.split(first(key), ","), lambda v: F.regexp_replace(v, r"(?U)^\s+|\s+$", "")), lambda v: F.array_contains(everything, v))
+        return F.when(F.size(valid) > 0, valid).otherwise(everything)
+
+    sort = first("sort")
+    known = F.when(sort.isin(*vocab.SORTS), sort).otherwise(F.lit(vocab.DEFAULT_SORT))
+    return F.struct(*[chosen(k).alias(k) for k in vocab.FACET_KEYS], first("q").alias("q"), known.alias("sort"))
+
+
 @dataclass
 class FilterState:
     selected: dict[str, list[str]] = field(default_factory=dict)

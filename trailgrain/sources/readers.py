@@ -60,17 +60,21 @@ def parse_frontmatter(raw: str) -> dict:
 
 def read_collection(spark: SparkSession, path: str) -> DataFrame:
     """One row a markdown file: ``id`` (the file's name) and the record's fields in lower case; defaults fill what may be absent."""
-    import json
+    files = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]+)\.md$", 1).alias("id"), "value")
+    return parse_records(files)
+
 
-    files = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True).select("value", F.input_file_name().alias("file"))
+def parse_records(files: DataFrame, key: str = "id", raw: str = "value") -> DataFrame:
+    """``id`` and the record's fields of every markdown text; one without frontmatter raises ValueError."""
+    import json
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [json.dumps(parse_frontmatter(v), ensure_ascii=False) for v in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.string())], names=["file", "record"])
+            out = [json.dumps(parse_frontmatter(v), ensure_ascii=False) for v in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["id", "record"])
 
     schema = ", ".join(f"{k} {v}" for k, v in RECORD_FIELDS.items())
-    parsed = files.mapInArrow(run, "file string, record string").select(F.regexp_extract("file", r"([^/]+)\.md$", 1).alias("id"), F.from_json("record", schema).alias("r"))
+    parsed = files.select(F.col(key).cast("string").alias("id"), F.col(raw).alias("value")).mapInArrow(run, "id string, record string").select("id", F.from_json("record", schema).alias("r"))
     fields = [F.col(f"r.{k}").alias(k.lower()) for k in RECORD_FIELDS]
     return with_defaults(parsed.select("id", *fields))
 
@@ -100,7 +104,7 @@ def read_keys(spark: SparkSession, path: str, name: str = "canonical") -> DataFr
     """The distinct nonblank lines of text files; a missing path has none."""
     if _missing(spark, path):
         return spark.createDataFrame([], f"{name} string")
-    return spark.read.text(path).select(F.trim("value").alias(name)).where(F.col(name) != "").distinct()
+    return spark.read.text(path).select(F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias(name)).where(F.col(name) != "").distinct()
 
 
 def cards_to_rows(cards: DataFrame, arrays: list[str], numbers: list[str]) -> DataFrame:

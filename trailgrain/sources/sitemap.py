@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailgrain.functions.arrowkit import ensure_checkpoint_dir
@@ -26,24 +28,27 @@ def parse_sitemap(xml: Column) -> Column:
     return F.struct(F.when(~index & urlset, found).otherwise(none).alias("urls"), F.when(index, found).otherwise(none).alias("sitemaps"))
 
 
-def walk(roots: DataFrame, edges: DataFrame, limit: int = LIMIT, depth: int = 10) -> DataFrame:
-    """(domain, sitemap, ord) of at most ``limit`` sitemaps a domain, breadth first.
+def walk(roots: DataFrame, edges: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """(domain, sitemap, n): the first ``limit`` requests of each domain's walk, in the order of a queue, ``n`` from 1.
 
     ``roots``: domain, sitemap, ord.  ``edges``: sitemap, child, child_ord.  A
-    join a level; a domain stops growing at the limit, which bounds the levels.
+    sitemap that several others list is asked for each time, as in a plain
+    queue, so cycles end at the limit.  A join a level: every level adds a
+    request to each domain that still grows, so there are at most ``limit``, and
+    the walk stops when none does.  Ties of the order go by the name.
     """
     ensure_checkpoint_dir(roots.sparkSession)
-    from pyspark.sql import Window
-
-    window = Window.partitionBy("domain").orderBy("level", "parent", "ord", "sitemap")
-    seen = roots.select("domain", "sitemap", F.lit(0).alias("level"), F.lit(0).cast("long").alias("parent"), F.col("ord").cast("long").alias("ord"))
-    seen = seen.withColumn("n", F.row_number().over(window)).where(F.col("n") <= limit).checkpoint()
-    for level in range(1, depth):
-        last = seen.where(F.col("level") == level - 1)
-        step = last.join(edges, "sitemap").select("domain", F.col("child").alias("sitemap"), F.lit(level).alias("level"), F.col("n").cast("long").alias("parent"), F.col("child_ord").cast("long").alias("ord"))
-        fresh = step.join(seen.select("domain", "sitemap"), ["domain", "sitemap"], "left_anti").dropDuplicates(["domain", "sitemap"])
-        merged = seen.drop("n").unionByName(fresh).withColumn("n", F.row_number().over(window)).where(F.col("n") <= limit).checkpoint()
-        if merged.where(F.col("level") == level).isEmpty():
-            return merged.select("domain", "sitemap", "n")
-        seen = merged
-    return seen.select("domain", "sitemap", "n")
+    whole = Window.partitionBy("domain")
+    first = whole.orderBy("ord", "sitemap")
+    level = roots.select("domain", "sitemap", F.row_number().over(first).alias("n"), F.count(F.lit(1)).over(whole).alias("queued")).where(F.col("n") <= limit).checkpoint()
+    levels = [level.select("domain", "sitemap", "n")]
+    for _ in range(limit - 1):
+        growing = level.where(F.col("queued") < limit).select("domain", "sitemap", F.col("n").alias("parent"), "queued")
+        step = growing.join(edges.select("sitemap", "child", "child_ord"), "sitemap")
+        order = whole.orderBy("parent", "child_ord", "child")
+        level = step.select("domain", F.col("child").alias("sitemap"), (F.col("queued") + F.row_number().over(order)).alias("n"), (F.col("queued") + F.count(F.lit(1)).over(whole)).alias("queued"))
+        level = level.where(F.col("n") <= limit).checkpoint()
+        if level.isEmpty():
+            break
+        levels.append(level.select("domain", "sitemap", "n"))
+    return reduce(DataFrame.unionByName, levels)
