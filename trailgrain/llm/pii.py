@@ -6,28 +6,31 @@ gathers given names and surnames from contexts that introduce a person, the
 second finds them together anywhere, in any letter case and in either order.
 What a document introduces itself counts in it however rare it is.
 
-Surrogates are keyed: the same entity always gets the same replacement, of its
-type, script, letter case and format; two entities of a document never share
-one.  Without the key a replacement can't be traced back.
+Entities are replaced by placeholders, or by keyed surrogates (``surrogates``):
+of their type, script, letter case and format, the same for an entity in all
+documents, and never the same for two.
 """
 
 from __future__ import annotations
 
-import hashlib
-import hmac
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailgrain.functions.arrowkit import map_batches
+from trailgrain.functions.arrowkit import ensure_checkpoint_dir, map_batches
+from trailgrain.llm.surrogates import Cipher
 
 KINDS = ("email", "phone", "identity_number", "street_address", "person_name")
 #: A token must be introduced as a name so often to count in documents that don't introduce it themselves.
 LEARNT = 3
+#: Up to so many learnt names (about 60 bytes each) are sent to every worker, beyond that documents and names are joined.
+LEXICON_BROADCAST = 500_000
 
 # ---- fixed values: forms of emails, numbers and addresses
 
@@ -52,8 +55,11 @@ ID_LABELS = (
     "ssn|social security number|social security no.|id, mine is|id number|id no.|passport number|passport no.|national insurance number|national insurance no.|nino|ausweisnummer|personalausweis|steuer-id|documento|dni|nie|pasaporte"
     "|personnummer|numéro de sécurité sociale|codice fiscale|carta d'identità|cpf|nif|bsn|burgerservicenummer|henkilötunnus|pesel|nr dowodu|паспорт|снилс|инн|マイナンバー"
 ).split("|")
-LABELLED = re.compile(r"\s*[:#]?\s*(?P<value>[A-Z]{0,3} ?\d[\dA-Z]*(?:[ \-/]\d[\dA-Z]*)*(?: [A-D](?![\w]))?)")
-SHAPED = re.compile(r"(?<![\w\-.])(?:\d{3}-\d{2}-\d{4}|[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D]|\d{8}[A-Z]|(?:19|20)?\d{6}-\d{4}|[1-9](?: \d{2}){3} \d{3} \d{3}(?: \d{2})?|[A-Z]{6}\d{2}[A-Z]\d{2}[A-Z]\d{3}[A-Z])(?![\w\-])")
+LABELLED = re.compile(r"\s*[:#]?\s*(?P<value>[A-Z]{6}\d{2}[A-Z]\d{2}[A-Z]\d{3}[A-Z](?![A-Z\d])|[A-Z]{0,3} ?\d[\dA-Z]*(?:[ \-/]\d[\dA-Z]*)*(?: [A-D](?![\w]))?)")
+SHAPED = re.compile(r"(?<![\w\-.])(?:\d{3}-\d{2}-\d{4}|[A-Z]{2} ?\d{2} ?\d{2} ?\d{2} ?[A-D]|\d{8}[A-Z]|(?:19|20)?\d{6}-\d{4}|[1-9](?: \d{2}){3} \d{3} \d{3}(?: \d{2})?)(?![\w\-])")
+#: An identity number without a run of digits, so it is looked for on its own.
+CODE = re.compile(r"(?<![A-Z\d])[A-Z]{6}\d{2}[A-Z]\d{2}[A-Z]\d{3}[A-Z](?![A-Z\d])")
+_CODE_END = re.compile(r"\d{3}[A-Z](?![A-Z\d])")
 #: Runs that can hold a number of a person: the longer expressions are tried on these only.
 RUN = re.compile(r"[+(]?\d[\d ()./\-]{4,}\d")
 _TOWN = r"[A-ZÀ-ÖØ-ÞŁŚŻ][^\W\d_]+(?:[-’'][^\W\d_]+)*"
@@ -64,7 +70,7 @@ STREETS = [
     (("Box",), re.compile(rf"(?<!\w)(?:P\.?\s?O\.?\sBox|Box)\s\d+{_UK_US}")),
     (("traße ", "strasse ", "str. ", "weg ", "gasse ", "platz ", "allee ", "ostfach "), re.compile(rf"(?<!\w)(?:[A-ZÄÖÜ][\wäöüß\-]*(?:straße|strasse|str\.|weg|gasse|platz|allee)|Postfach)\s\d+(?:\s?[a-h](?![\w]))?(?:,\s\d{{5}}\s{_TOWN})?")),
     (("rue ", "chemin ", "impasse ", "avenue ", "allée ", "place ", "quai ", "boulevard ", "route ", "BP "), re.compile(rf"(?<!\w)(?:\d+(?:\s(?:bis|ter|quater))?,?\s(?:rue|chemin|impasse|avenue|allée|place|quai|boulevard|route)\s[^,\n.;]{{3,40}}|BP\s\d+)(?:,\s\d{{5}}\s{_TOWN})?", re.IGNORECASE)),
-    (("C/", "Calle ", "Avda", "Avenida ", "Plaza ", "Paseo ", "Apdo", "Apartado "), re.compile(rf"(?<!\w)(?:(?:C/|Calle|Avda\.?|Avenida|Plaza|Paseo|Camino)\s?(?:de\s(?:la\s|las\s|los\s)?|del\s)?{_TOWN}(?:\s{_TOWN})?,?\s\d+(?:\s?[A-Za-z]|\sbis)?(?!\w)|(?:Apdo\.?|Apartado)(?:\sde\sCorreos)?\s\d+)(?:,\s\d{{5}}\s{_TOWN})?")),
+    (("C/", "Calle ", "Avda", "Avenida ", "Plaza ", "Paseo ", "Camino ", "Apdo", "Apartado "), re.compile(rf"(?<!\w)(?:(?:C/|Calle|Avda\.?|Avenida|Plaza|Paseo|Camino)\s?(?:de\s(?:la\s|las\s|los\s)?|del\s)?{_TOWN}(?:\s{_TOWN})?,?\s\d+(?:\s?[A-Za-z]|\sbis)?(?!\w)|(?:Apdo\.?|Apartado)(?:\sde\sCorreos)?\s\d+)(?:,\s\d{{5}}\s{_TOWN})?")),
     (("vägen ", "gatan ", "gränd ", "stigen ", "torget "), re.compile(rf"(?<!\w)[A-ZÅÄÖ][\w]*(?:vägen|gatan|gränd|stigen|torget)\s\d+(?:\s?[A-Za-z](?!\w))?(?:,\s\d{{3}}\s?\d{{2}}\s{_TOWN})?")),
     (("Via ", "Viale ", "Piazza ", "Corso ", "Vicolo "), re.compile(rf"(?<!\w)(?:Via|Viale|Piazza|Corso|Vicolo)\s(?:[^\W\d_]+\s){{0,3}}[A-ZÀ-Þ][^\W\d_]+,?\s\d+(?:\s?[a-z](?!\w))?(?:,\s\d{{5}}\s{_TOWN})?")),
     (("Rua ", "Avenida ", "Travessa ", "Praça "), re.compile(rf"(?<!\w)(?:Rua|Travessa|Praça)\s(?:[^\W\d_]+\s){{0,3}}[A-ZÀ-Þ][^\W\d_]+,?\s\d+(?:,\s\d{{4,5}}-\d{{3}}\s{_TOWN})?")),
@@ -88,7 +94,6 @@ _CAPITAL = r"(?=[A-ZÀ-ÖØ-ÞŁŚŻĆĄĘŃÓŹА-ЯЁ])"
 _INTRODUCED = re.compile(
     rf"\s+{_CAPITAL}(?P<given>{_NAME_WORD}(?:-{_NAME_WORD})?)(?:\s+{_CAPITAL}[^\W\d_]\.)?\s+(?P<particle>{_PARTICLE}?){_CAPITAL}(?P<surname>{_NAME_WORD}(?:-{_NAME_WORD})?)"
 )
-_TRIGGERS = tuple(w for w in INTRODUCTIONS.split("|"))
 _TOKENS = re.compile(rf"{_NAME_WORD}(?:-{_NAME_WORD})*")
 
 _PIECES = re.compile(_NAME_WORD)
@@ -98,22 +103,39 @@ def _parts(name: str) -> list[str]:
     return [p for p in name.lower().replace("’", "'").split("-") if len(p) > 1]
 
 
-def introduced(text: str) -> Iterator[tuple[str, str]]:
-    """(role, token) of the names that a context introduces; a particle comes with its surname."""
+@lru_cache(maxsize=1)
+def _automaton() -> ahocorasick.Automaton:
+    """All introductions and labels of numbers in one automaton."""
+    made = ahocorasick.Automaton()
+    for words, is_label in ((INTRODUCTIONS.split("|"), False), (ID_LABELS, True)):
+        for w in words:
+            made.add_word(w, (len(w), is_label))
+    made.make_automaton()
+    return made
+
+
+def lowered(text: str) -> str:
+    """In lower case, character by character, so that places stay the same."""
     low = text.lower()
-    for trigger in _TRIGGERS:
-        at = low.find(trigger)
-        while at >= 0:
-            after = at + len(trigger)
-            if not low[at - 1 : at].isalnum() and (m := _INTRODUCED.match(text, after)):
-                for p in _parts(m["given"]):
-                    yield "given", p
-                own = [p for p in _parts(m["surname"]) if p not in _PARTICLE_WORDS]
-                for p in own:
-                    yield "surname", p
-                if m["particle"] and own:
-                    yield "particle", f"{' '.join(m['particle'].lower().split())}|{own[0]}"
-            at = low.find(trigger, after)
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def marks(low: str) -> list[tuple[int, bool]]:
+    """(place after it, whether it labels a number) of every introduction and label, in one pass; one that continues a word is none."""
+    return [(end + 1, is_label) for end, (size, is_label) in _automaton().iter(low) if not low[end - size : end - size + 1].isalnum() or end < size]
+
+
+def introduced(text: str, found: list[tuple[int, bool]] | None = None) -> Iterator[tuple[str, str]]:
+    """(role, token) of the names that a context introduces; a particle comes with its surname."""
+    for after, is_label in marks(lowered(text)) if found is None else found:
+        if not is_label and (m := _INTRODUCED.match(text, after)):
+            for p in _parts(m["given"]):
+                yield "given", p
+            own = [p for p in _parts(m["surname"]) if p not in _PARTICLE_WORDS]
+            for p in own:
+                yield "surname", p
+            if m["particle"] and own:
+                yield "particle", f"{' '.join(m['particle'].lower().split())}|{own[0]}"
 
 
 class Names:
@@ -124,13 +146,13 @@ class Names:
         self.given = {t for t, n in given.items() if n >= surnames.get(t, 0)}
         self.surnames = {t for t, n in surnames.items() if n > given.get(t, 0)}
 
-
     def _is(self, token: str, names: set[str]) -> bool:
         return all(p in names for p in token.lower().replace("’", "'").split("-"))
 
-    def find(self, text: str) -> Iterator[tuple[int, int]]:
+    def find(self, text: str, found: list[tuple[int, bool]] | None = None) -> Iterator[tuple[int, int]]:
+        """Places of names; ``found`` are the text's ``marks``, if they are known."""
         own: dict[str, set[str]] = {"given": set(), "surname": set(), "particle": set()}
-        for role, token in introduced(text):
+        for role, token in introduced(text, found):
             own[role].add(token)
         here = set("|".join(_PIECES.findall(text)).lower().replace("’", "'").split("|"))
         given, surnames = here & self.given | own["given"], here & self.surnames | own["surname"]
@@ -191,6 +213,7 @@ class Names:
 
 
 _PARTICLE_WORDS = {w for p in PARTICLES.split("|") for w in p.split() if w.isalpha()}
+_PARTICLE_SET = frozenset(_PARTICLE_WORDS)
 
 
 def _digits(s: str) -> int:
@@ -210,22 +233,23 @@ class Detector:
         found: list[tuple[int, int, str]] = []
         if "@" in text:
             found += [(*m.span(), "email") for m in EMAIL.finditer(text)]
-        low = text.lower()
-        if "at]" in low or "at)" in low or "(a)" in low or "(@)" in low or " dot " in low:
+        low = lowered(text)
+        if "at]" in low or "at)" in low or "(a)" in low or "[a]" in low or "(@)" in low or " dot " in low:
             found += [(*m.span(), "email") for m in DISGUISED.finditer(text)]
         runs = [(m.start(), m.end()) for m in RUN.finditer(text)]
-        for label in ID_LABELS:
-            at = low.find(label)
-            while at >= 0:
-                after = at + len(label)
-                if not low[at - 1 : at].isalnum() and (m := LABELLED.match(text, after)) and _digits(m["value"]) >= 6:
-                    found.append((*m.span("value"), "identity_number"))
-                at = low.find(label, after)
+        seen = marks(low)
+        for after, is_label in seen:
+            if is_label and (m := LABELLED.match(text, after)) and _digits(m["value"]) >= 6:
+                found.append((*m.span("value"), "identity_number"))
         for a, b in runs:
             for m in SHAPED.finditer(text, max(0, a - 6), min(len(text), b + 4)):
                 found.append((*m.span(), "identity_number"))
+        for end in _CODE_END.finditer(text):
+            if end.end() >= 16 and (m := CODE.match(text, end.end() - 16)):
+                found.append((*m.span(), "identity_number"))
+        spaced = text.replace("\n", " ").replace("\xa0", " ").replace("\t", " ")
         for gate, pattern in STREETS:
-            if any(g in text for g in gate):
+            if any(g in spaced for g in gate) or pattern.flags & re.IGNORECASE and any(g.lower() in low for g in gate):
                 found += [(*m.span(), "street_address") for m in pattern.finditer(text)]
         for a, b in runs:
             if _digits(text[a:b]) < 9:
@@ -234,7 +258,7 @@ class Detector:
                 main = re.split(r"[a-zA-Z]", m.group(), maxsplit=1)[0]
                 if 9 <= _digits(main) <= 15 and not _NOT_PHONE.search(text[max(0, m.start() - 16) : m.start()]):
                     found.append((*m.span(), "phone"))
-        found += [(a, b, "person_name") for a, b in self.names.find(text)]
+        found += [(a, b, "person_name") for a, b in self.names.find(text, seen)]
         return self._apart(text, found)
 
     @staticmethod
@@ -250,8 +274,8 @@ class Detector:
 _NOT_PHONE = re.compile(r"(?:model|order no\.?|barcode|grid ref|batch|isbn|sections?|score:?|position|no\.)\s*\S{0,6}$", re.IGNORECASE)
 
 
-def learn_names(documents: DataFrame, text: str = "text") -> Names:
-    """Given names and surnames that all documents introduce at least LEARNT times: all of them are collected, as Arrow columns."""
+def introduced_names(documents: DataFrame, text: str = "text") -> DataFrame:
+    """``role``, ``token`` and ``n`` of every given name, surname and particle that the documents introduce at least LEARNT times."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts: Counter[tuple[str, str]] = Counter()
@@ -261,40 +285,72 @@ def learn_names(documents: DataFrame, text: str = "text") -> Names:
         return pa.RecordBatch.from_arrays([pa.array([r for r, _ in counts], pa.string()), pa.array([t for _, t in counts], pa.string()), pa.array(counts.values(), pa.int64())], names=["role", "token", "n"])
 
     counted = map_batches(documents.select(F.col(text).alias("text")), run, "role string, token string, n long").groupBy("role", "token").agg(F.sum("n").alias("n"))
-    learnt = counted.where(F.col("n") >= LEARNT).toArrow()
+    return counted.where(F.col("n") >= LEARNT)
+
+
+def names_of(rows: Iterable[tuple[str, str, int]]) -> Names:
     roles: dict[str, dict[str, int]] = {"given": {}, "surname": {}, "particle": {}}
-    for batch in learnt.to_batches():
-        for role, token, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            roles[role][token] = n
+    for role, token, n in rows:
+        roles[role][token] = n
     return Names(*roles.values())
 
 
+def _row_tokens(text: str | None) -> set[str]:
+    """The distinct words of a text, as the lexicon has them."""
+    return {p for w in _PIECES.findall(text or "") for p in _parts(w)}
+
+
+def _detected(documents: DataFrame, key: str, text: str, run: Callable[[pa.RecordBatch, Callable[[int], Detector]], pa.RecordBatch], schema: str) -> DataFrame:
+    """Apply ``run`` to batches of (key, text), with the detector of each row.
+
+    Up to LEXICON_BROADCAST learnt names go to every worker.  Beyond that they
+    stay a table: the distinct words of each document meet it in a join, and a
+    document gets the learnt names among its own words.
+    """
+    ensure_checkpoint_dir(documents.sparkSession)
+    learnt = introduced_names(documents, text).checkpoint()
+    part = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    if learnt.count() <= LEXICON_BROADCAST:
+        detector = Detector(names_of(zip(*(c.to_pylist() for c in learnt.toArrow().columns), strict=True)))
+        return map_batches(part, lambda batch: run(batch, lambda _: detector), schema)
+
+    def words(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows, tokens = [], []
+        for row, s in enumerate(batch.column(1).to_pylist()):
+            own = _row_tokens(s)
+            rows += [row] * len(own)
+            tokens += own
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(tokens, pa.string())], names=["key", "word"])
+
+    def with_own(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = [Detector(names_of((n["role"], n["token"], n["n"]) for n in names or ())) for names in batch.column(2).to_pylist()]
+        return run(batch, own.__getitem__)
+
+    kind = part.schema["key"].dataType.simpleString()
+    entries = learnt.withColumn("word", F.regexp_extract("token", r"([^|]*)$", 1))  # a particle's entry ends in its surname
+    met = map_batches(part, words, f"key {kind}, word string").join(entries, "word").groupBy("key").agg(F.collect_set(F.struct("role", "token", "n")).alias("names")).withColumnRenamed("key", "_key")
+    joined = part.join(met, part["key"].eqNullSafe(met["_key"]), "left").select("key", "text", "names")
+    return map_batches(joined, with_own, schema)
+
+
 def find_pii(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Distinct ``key``, ``pii_kind``, ``found_text``; null and empty texts hold none."""
     kind = documents.schema[key].dataType.simpleString()
-    detector = Detector(learn_names(documents, text))
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batch: pa.RecordBatch, detector_of: Callable[[int], Detector]) -> pa.RecordBatch:
         rows, kinds, texts = [], [], []
         for row, s in enumerate(batch.column(1).to_pylist()):
-            for k, t in dict.fromkeys((k, s[a:b]) for a, b, k in detector.find(s)):
+            for k, t in dict.fromkeys((k, s[a:b]) for a, b, k in detector_of(row).find(s)):
                 rows.append(row)
                 kinds.append(k)
                 texts.append(t)
         return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(kinds, pa.string()), pa.array(texts, pa.string())], names=["key", "pii_kind", "found_text"])
 
-    part = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return map_batches(part, run, f"key {kind}, pii_kind string, found_text string").distinct().withColumnRenamed("key", key)
+    return _detected(documents, key, text, run, f"key {kind}, pii_kind string, found_text string").distinct().withColumnRenamed("key", key)
 
 
 # ---- replacement
 
-# Invented name parts for surrogates, by the ending that marks a given name's usual gender.
-GIVEN_A = "Almara Beriana Calinda Doriana Eluna Fiorena Galena Havina Ilvara Jorena Kaliana Lumia Marenka Nerina Odessia Parvina Quilla Rosenna Selvia Taviana".split()
-GIVEN_OTHER = "Aldren Borvin Corwen Daskel Elrin Farlow Gorin Haldor Ivarn Jostan Keldan Lorven Mardon Norvel Oskan Perrin Quorin Rendal Sorvik Tarvin".split()
-SURNAMES = "Ashgrovel Brindleward Caskmoor Dunfeather Elmsgate Fernholder Gorsewick Hollowmere Ironbeck Juniperley Kestmoor Larkstead Mossbarrow Nettlecombe Oatfield Pinewarden Quarrymoor Rushbeck Stonemantle Thornwater".split()
-CYRILLIC = str.maketrans("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопкрстуввкйз")
-
 
 def _key(entity: str, kind: str) -> str:
     """What mentions of one entity have in common: letter case, the order of names and the way a number is set don't matter."""
@@ -310,74 +366,43 @@ def _key(entity: str, kind: str) -> str:
     return low
 
 
-def surrogate(entity: str, kind: str, secret: bytes, attempt: int = 0) -> str:
-    """The keyed replacement of an entity, in its script, letter case and format."""
-    digest = hmac.new(secret, f"{kind}|{attempt}|{_key(entity, kind)}".encode(), hashlib.sha256).digest()
-    numbers = iter(digest * 8)
-    if kind in ("phone", "identity_number"):
-        keep = 3 if entity.startswith("+") else 1
-        out, seen = [], 0
-        for c in entity:
-            if c.isdigit():
-                seen += 1
-                out.append(c if kind == "phone" and seen <= keep else str(next(numbers) % 10))
-            else:
-                out.append(chr(65 + next(numbers) % 26) if c.isupper() and kind == "identity_number" else c)
-        return "".join(out)
-    if kind == "email":
-        mail = f"user{int.from_bytes(digest[:4], 'big') % 10**7:07d}@mail.invalid"
-        return mail.upper() if entity.isupper() else mail
-    if kind == "street_address":
-        number = next(numbers) % 200 + 1
-        return f"{number} {SURNAMES[next(numbers) % len(SURNAMES)]} Lane"
-    surname, comma, given = entity.partition(",")
-    first = (given.strip() if comma else entity).split()[0].split("-")[0].lower()
-    pool = GIVEN_A if first.endswith(("a", "а", "e")) else GIVEN_OTHER
-    new_given, new_surname = pool[next(numbers) % len(pool)], SURNAMES[next(numbers) % len(SURNAMES)]
-    new = f"{new_surname}, {new_given}" if comma else f"{new_given} {new_surname}"
-    if re.search("[а-яё]", entity.lower()):
-        new = new.lower().translate(CYRILLIC).title()
-    return new.upper() if entity.isupper() else new.lower() if entity.islower() else new
-
-
-def replace(text: str, found: list[tuple[int, int, str]], secret: bytes | None) -> str:
-    """``text`` with placeholders (no ``secret``) or surrogates; the same entity gets the same one, different entities different ones."""
-    given: dict[tuple[str, str], object] = {}
-    used: dict[tuple[str, str], tuple[str, str]] = {}
+def replace(text: str, found: list[tuple[int, int, str]], cipher: Cipher | None) -> str:
+    """``text`` with placeholders (no ``cipher``) or surrogates; the same entity gets the same one, different entities different ones."""
+    given: dict[tuple[str, str], str] = {}
     counts: Counter[str] = Counter()
     out, at = [], 0
     for a, b, kind in found:
-        entity = (kind, _key(text[a:b], kind))
-        if secret is None:
+        if cipher is None:
+            entity = (kind, _key(text[a:b], kind))
             if entity not in given:
                 counts[kind] += 1
                 given[entity] = f"[{kind.upper()}_{counts[kind]}]"
             new = given[entity]
         else:
-            attempt = given.get(entity, 0)
-            new = surrogate(text[a:b], kind, secret, attempt)
-            while used.setdefault((kind, _key(new, kind)), entity) != entity:
-                attempt += 1
-                new = surrogate(text[a:b], kind, secret, attempt)
-            given[entity] = attempt
+            new = cipher.surrogate(text[a:b], kind, _PARTICLE_SET)
         out += [text[at:a], new]
         at = b
     return "".join(out) + text[at:]
 
 
 def redact(documents: DataFrame, key: str = "doc_id", text: str = "text", secret: str | None = None) -> DataFrame:
-    """``key``, ``redacted`` and ``n_found``; null stays null, empty stays empty."""
+    """``key``, ``redacted`` and ``n_found``; null stays null, empty stays empty.
+
+    Without ``secret`` entities become placeholders, numbered within a document;
+    with it keyed surrogates, the same for an entity in all documents.
+    """
     kind = documents.schema[key].dataType.simpleString()
-    detector = Detector(learn_names(documents, text))
     code = secret.encode() if secret is not None else None
+    held: list[Cipher] = []
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def run(batch: pa.RecordBatch, detector_of: Callable[[int], Detector]) -> pa.RecordBatch:
+        if code is not None and not held:
+            held.append(Cipher(code))
         texts, counts = [], []
-        for s in batch.column(1).to_pylist():
-            found = detector.find(s)
-            texts.append(replace(s, found, code) if found else s)
+        for row, s in enumerate(batch.column(1).to_pylist()):
+            found = detector_of(row).find(s)
+            texts.append(replace(s, found, held[0] if held else None) if found else s)
             counts.append(len(found))
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int32())], names=["key", "redacted", "n_found"])
 
-    part = documents.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return map_batches(part, run, f"key {kind}, redacted string, n_found int").withColumnRenamed("key", key)
+    return _detected(documents, key, text, run, f"key {kind}, redacted string, n_found int").withColumnRenamed("key", key)

@@ -69,8 +69,13 @@ def p10_redacted(spark: SparkSession, sf: str) -> DataFrame:
     return pii.redact(_table(spark, sf, "documents"))
 
 
+def p10_surrogates(spark: SparkSession, sf: str) -> DataFrame:
+    """With an example of a key; a real one belongs in the caller's secrets."""
+    return pii.redact(_table(spark, sf, "documents"), secret="an example key")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p3_found, p3_main_content, p4_found, p4_groups, p6_found, p8_ids, p9_containers, p10_found, p10_redacted)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p3_found, p3_main_content, p4_found, p4_groups, p6_found, p8_ids, p9_containers, p10_found, p10_redacted, p10_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:
