@@ -128,9 +128,18 @@ GATE = f"[\\x{{80}}-\\x{{10ffff}}&&[^{PLAIN}]]|ít|\\?[a-z?{_LOWER}]|\\?\\?[ ,]|
 def oddness(text: str) -> float:
     if text.isascii():
         return 0.0
+    return _short_oddness(text) if len(text) <= MEMO_CHARS else _oddness(text)
+
+
+def _oddness(text: str) -> float:
     return sum(w * len(rule.findall(text)) for w, rule in _ODD)
 
 
+#: Words and windows of up to so many characters come again and again, for each pair of encodings and on other pages.
+MEMO_CHARS = 64
+_short_oddness = lru_cache(maxsize=100_000)(_oddness)
+
+
 _KANA, _KANJI = re.compile("[\u3041-\u30ff]"), re.compile("[\u4e00-\u9fff]")
 _WORDS = re.compile(r"[^\s]*[^\x00-\x7f][^\s]*")
 

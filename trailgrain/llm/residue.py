@@ -94,6 +94,12 @@ class ResidueIndex:
         self.whole = frozenset(WHOLE.splitlines())
         self.filler = frozenset(FILLER.split())
 
+    @staticmethod
+    @lru_cache(maxsize=1)
+    def plain() -> ResidueIndex:
+        """The index without frequencies: every word weighs the same."""
+        return ResidueIndex({}, 1)
+
     def window(self, tokens: list[str], found: set[str]) -> bool:
         """Whether a window holds residue, given the index words in it."""
         here = pairs(tokens) | set(tokens)
