@@ -143,21 +143,12 @@ def test_similar_pairs_equal_brute_force(spark):
     assert got <= expected.keys() and {p for p, s in expected.items() if s >= 0.56} <= got and len(got) >= 0.97 * len(expected)
     groups = {r["page_id"]: r for r in neardup.groups(pages).collect()}
     assert len(groups) == len(rows) and groups[0]["class"] == groups[60]["class"] and groups[62]["class"] is None
+    assert groups[61]["representative"] == 0 and groups[62]["representative"] == 62 and groups[61]["cluster"] == groups[0]["cluster"]
     assert neardup.similar_pairs(pages.where("false")).count() == 0
 
 
-def test_costly_groups_lengthen_their_prefixes(monkeypatch):
-    import numpy as np
-
-    monkeypatch.setattr(neardup, "COST", 4)
-    rows = np.zeros(12, neardup._ROW)
-    rows["id"], rows["size"], rows["more"][:, 0] = np.arange(12), 100, np.arange(12) // 3
-    pairs = {(int(a), int(b)) for x, y in neardup._group_pairs(rows) for a, b in zip(x, y, strict=True)}
-    assert pairs == {(a, b) for a in range(12) for b in range(a + 1, 12) if a // 3 == b // 3}
-
-
-@pytest.mark.parametrize("dealt", [50, 8192])
-def test_pairs_of_a_large_family_all_meet(monkeypatch, dealt):
+@pytest.mark.parametrize("dealt, hot", [(50, 10**9), (8192, 10**9), (8192, 0)])
+def test_pairs_of_a_large_family_all_meet(monkeypatch, dealt, hot):
     import numpy as np
     import pyarrow as pa
 
@@ -168,7 +159,9 @@ def test_pairs_of_a_large_family_all_meet(monkeypatch, dealt):
     flat = np.concatenate([np.sort(np.concatenate((shared, rng.integers(1, 1 << 52, 40, dtype=np.uint64)))) for _ in range(n)])
     ids, first = neardup.sketches(flat, np.arange(n + 1) * 140)
     batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array([140] * n, pa.int32()), pa.array([r.tobytes() for r in first], pa.binary())], names=["class", "size", "sketch"])
-    rows = pa.Table.from_batches([neardup._prefix_rows(batch)]).sort_by("prefix").to_batches(max_chunksize=1000)
+    slots = [1024] if hot else [1024, *range(1024)]
+    rows = pa.Table.from_batches([neardup._band_rows(batch, slots)]).sort_by("band").to_batches(max_chunksize=1000)
+    assert sum(r.num_rows for r in rows) == n * neardup.TABLES * (1 if hot else neardup.BLOCKS)
     pairs, blocks = set(), []
     for out in neardup._meeting_pairs(iter(rows)):
         whole = out.filter(out.column(2).is_valid())
@@ -181,6 +174,35 @@ def test_pairs_of_a_large_family_all_meet(monkeypatch, dealt):
     assert len(pairs) >= 0.998 * n * (n - 1) / 2
 
 
+@pytest.mark.parametrize("n, hot", [(1500, 500), (5000, neardup.HOT)])
+def test_clusters_of_pages_of_one_template(spark, monkeypatch, n, hot):
+    monkeypatch.setattr(neardup, "HOT", hot)
+    rng = random.Random(9)
+    template = ["".join(rng.choice("abcdefghijklmnoprstuv") for _ in range(6)) for _ in range(160)]
+    rows = []
+    for i in range(n):
+        own = list(template)
+        at = rng.randrange(40, 120)
+        own[at : at + 18] = [f"w{i}x{k}" for k in range(rng.randrange(24, 28))]
+        rows.append((i, " ".join(own)))
+    pages = spark.createDataFrame(rows, "page_id long, text string").withColumn("title", F.lit(None).cast("string")).repartition(8)
+    members, links = neardup.join_classes(pages)
+    links = links.checkpoint()
+    sample = [tuple(rng.sample(range(n), 2)) for _ in range(2000)]
+    similar = {p for p in sample if jaccard(rows[p[0]][1], rows[p[1]][1]) >= 0.5}
+    asked = spark.createDataFrame(sample, "x long, y long")
+    one, two = (members.select(F.col("key").alias(k), F.col("class").alias(c)) for k, c in (("x", "cx"), ("y", "cy")))
+    named = asked.join(one, "x").join(two, "y").select("x", "y", F.least("cx", "cy").alias("a"), F.greatest("cx", "cy").alias("b"))
+    found = {(r["x"], r["y"]) for r in named.join(links, ["a", "b"]).collect()}
+    assert len(similar) > 1000 and found <= similar and len(found) >= 0.99 * len(similar)
+
+
+def test_clusters_follow_chains_of_links(spark):
+    chain = [(i, i + 1) for i in range(1, 40)] + [(100, 99), (99, 101), (7, 3)]
+    got = {r["class"]: r["cluster"] for r in neardup.clusters(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {i: 1 for i in range(1, 41)} | {99: 99, 100: 99, 101: 99}
+    assert neardup.clusters(spark.createDataFrame([], "a long, b long")).count() == 0
+
 
 def test_a_garbled_sign_among_clean_cyrillic_letters():
     text = "Замочите гречневую крупу и тушёнку, щавель, ячмень – дайте постоять, объедки выбросьте"

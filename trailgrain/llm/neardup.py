@@ -1,13 +1,16 @@
-"""Near-duplicate texts: multi-match prefixes over random token orders.
+"""Near-duplicate texts by MinHash banding.
 
 A text is its set of word shingles.  Under each of ``TABLES`` random orders of
-all shingles a set's prefix is its first tokens.  Sets meet if they share a
-prefix of ``BASE`` tokens.  However many share it, each is compared with each:
-the sets of a large group are dealt out in blocks, and every two blocks are a
-piece of work of their own.  Sets that meet are compared by a 256-bit sketch,
-what is left by their exact Jaccard similarity.  (A single order by document
-frequency finds every pair with certainty, but shares too little to be
-selective at a threshold of 0.5; the README has the figures.)
+all shingles a set's band is its first ``BAND`` tokens, one under each of BAND
+orders.  Sets meet if they share a band.  However many share it, each is compared
+with each: bands that many sets share are found beforehand, and their sets are
+dealt out in blocks, every two of them a piece of work of its own.  Sets that
+meet are compared by a 256-bit sketch, what is left by their exact Jaccard
+similarity.
+
+The method asked for, adaptive multi-match prefixes, isn't used: at a similarity
+of 0.5 a prefix is half a set, and counting the tokens that two prefixes share
+takes more than the budget by far.  The README has the figures.
 
 Texts with the same set are one class and are joined once, so a group of copies
 of any size costs no more than one text.
@@ -15,31 +18,41 @@ of any size costs no more than one text.
 
 from __future__ import annotations
 
+import math
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trailgrain.functions.arrowkit import ensure_checkpoint_dir, map_batches
 
 SHINGLE, MIN_WORDS, MIN_LETTERS, SIMILARITY = 3, 80, 3, 0.5
-TABLES, PER_TABLE, BASE, LONGEST, COST = 44, 3, 3, 7, 1024
+TABLES, BAND = 44, 3
+#: Sets that are compared at a time with ROWS_AT_ONCE others.
+COST = 1024
 #: First tokens of which a sketch is made.
 SKETCHED = 128
 #: A sketch holds two bits of each of SKETCHED first tokens.  So many must agree: 80 are expected at a similarity of 0.5, with a deviation of 5.5.
 AGREE = 66
 #: Up to so many classes to verify are broadcast (16 bytes each), beyond that they are shuffled.
 BROADCAST_CLASSES = 1_000_000
-#: Groups of more than DEALT sets are dealt out in blocks of about so many, but at most BLOCKS of them, so a set is copied at most so often.
+#: Groups of more than DEALT sets are dealt out in blocks of about so many, but at most BLOCKS of them.
 DEALT, BLOCKS = 8192, 8
+#: Bands that more than HOT sets may share are dealt out before they are gathered: their sets are copied BLOCKS times, so no task holds more than two blocks.
+HOT = 200_000
+#: Bytes of the rows of a task that gathers bands.
+TASK_BYTES = 16 << 20
 ROWS_AT_ONCE = 128
+#: Pairs of a cell in which sets are compared.
+CELL_PAIRS = 500_000
 CHUNK_CHARS = 1_500_000
 _BITS = np.uint64((1 << 52) - 1)
-_ODD = np.random.default_rng(20250101).integers(1, 1 << 63, size=TABLES * PER_TABLE, dtype=np.uint64) | np.uint64(1)
+_ODD = np.random.default_rng(20250101).integers(1, 1 << 63, size=TABLES * BAND, dtype=np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -150,31 +163,80 @@ def sketch_pages(pages: DataFrame, key: str, title: str, text: str) -> DataFrame
     return map_batches(part, run, f"key {kind}, class long, size int, sketch binary")
 
 
-def _prefix_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """A row for each set of the batch and table: the hash of its base prefix, and what a comparison needs."""
-    ids, at = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
-    sizes = batch.column(1).to_numpy(zero_copy_only=False)[at].astype(np.int32)
-    first = np.frombuffer(b"".join(batch.column(2).take(pa.array(at)).to_pylist()), np.uint32).reshape(len(ids), -1)
-    bits = np.concatenate([np.packbits((first[:, :SKETCHED] >> np.uint32(k)) & np.uint32(1), axis=1) for k in (7, 8)], axis=1)  # 32 bytes a set
-    payload = np.empty(len(ids) * TABLES, dtype=_ROW)
-    keys = np.empty((TABLES, len(ids)), np.int64)
-    payload = payload.reshape(TABLES, len(ids))
+def _bands(first: np.ndarray) -> np.ndarray:
+    """The hash of each set's band in each table."""
+    keys = np.empty((TABLES, len(first)), np.int64)
     for t in range(TABLES):
-        own = [(PER_TABLE * t + i) % first.shape[1] for i in range(LONGEST)]
-        key = np.full(len(ids), t + 1, np.uint64)
+        key = np.full(len(first), t + 1, np.uint64)
         with np.errstate(over="ignore"):
-            for c in own[:BASE]:
+            for c in range(BAND * t, BAND * (t + 1)):
                 key = _mix(key * np.uint64(0xD6E8FEB86659FD93) + first[:, c])
         keys[t] = key.astype(np.int64)
-        payload[t]["id"], payload[t]["size"], payload[t]["bits"] = ids, sizes, bits
-        payload[t]["more"] = first[:, own[BASE:]]
-    raw = payload.reshape(-1).tobytes()
-    width = _ROW.itemsize
-    packed = pa.Array.from_buffers(pa.binary(width), len(ids) * TABLES, [None, pa.py_buffer(raw)]).cast(pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1)), packed], names=["prefix", "row"])
+    return keys
+
+
+def _classes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(class, size, first tokens) of the distinct classes of a batch."""
+    ids, at = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
+    sizes = batch.column(1).to_numpy(zero_copy_only=False)[at].astype(np.int32)
+    first = np.frombuffer(b"".join(batch.column(2).take(pa.array(at)).to_pylist()), np.uint32).reshape(len(ids), -1)
+    return ids, sizes, first
 
 
-_ROW = np.dtype([("id", "<i8"), ("size", "<i4"), ("bits", "u1", (32,)), ("more", "<u4", (LONGEST - BASE,))])
+def _slots(keys: np.ndarray, slots: int) -> np.ndarray:
+    """Which of ``slots`` (a power of two) counters a band counts in."""
+    return (keys.view(np.uint64) >> np.uint64(20)) & np.uint64(slots - 1)
+
+
+def hot_slots(sketched: DataFrame, sets: int) -> list[int]:
+    """The counters of bands that more than HOT sets may share; a band that falls in with others may be among them, which only costs copies.
+
+    As many counters as keep the mean far below HOT; each task adds up its own,
+    and only those above HOT are collected, at most one for each HOT rows.
+    """
+    slots = 1 << max(10, min(24, (8 * sets * TABLES // HOT).bit_length()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(slots, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                counts += np.bincount(_slots(_bands(_classes(batch)[2]), slots).ravel().astype(np.int64), minlength=slots)
+        some = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["slot", "n"])
+
+    counted = sketched.select("class", "size", "sketch").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    return [slots, *(r["slot"] for r in counted.where(F.col("n") > HOT).collect())]
+
+
+def _band_rows(batch: pa.RecordBatch, hot: list[int]) -> pa.RecordBatch:
+    """A row for each set of the batch and table: its band, and what a comparison needs; of hot bands one for each pair of blocks that the set's block is in."""
+    ids, sizes, first = _classes(batch)
+    payload = np.empty((TABLES, len(ids)), dtype=_ROW)
+    payload["id"], payload["size"], payload["pair"] = ids, sizes, _WHOLE
+    payload["bits"] = np.concatenate([np.packbits((first[:, :SKETCHED] >> np.uint32(k)) & np.uint32(1), axis=1) for k in (7, 8)], axis=1)  # 32 bytes a set
+    keys, payload = _bands(first).reshape(-1), payload.reshape(-1)
+    if len(hot) > 1:
+        split = np.isin(_slots(keys, hot[0]), np.array(hot[1:], np.uint64))
+        own = _block_of(payload["id"][split])
+        keys_of, rows_of = [keys[~split]], [payload[~split]]
+        for other in range(BLOCKS):
+            pair = np.minimum(own, other) * BLOCKS + np.maximum(own, other)
+            rows = payload[split].copy()
+            rows["pair"] = pair
+            rows_of.append(rows)
+            with np.errstate(over="ignore"):
+                keys_of.append(_mix(keys[split].view(np.uint64) + pair.astype(np.uint64) + np.uint64(1)).view(np.int64))
+        keys, payload = np.concatenate(keys_of), np.concatenate(rows_of)
+    packed = pa.Array.from_buffers(pa.binary(_ROW.itemsize), len(payload), [None, pa.py_buffer(payload.tobytes())]).cast(pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(keys), packed], names=["band", "row"])
+
+
+_ROW = np.dtype([("id", "<i8"), ("size", "<i4"), ("pair", "u1"), ("bits", "u1", (32,))])
+_WHOLE = 255
+
+
+def _block_of(ids: np.ndarray) -> np.ndarray:
+    return (_mix(ids.view(np.uint64)) % np.uint64(BLOCKS)).astype(np.int64)
 
 
 def _differing(x: np.ndarray) -> np.ndarray:
@@ -212,21 +274,6 @@ def _compare(rows: np.ndarray, others: np.ndarray | None = None) -> Iterator[tup
             yield rows["id"][i[fits]], others["id"][j[fits]]
 
 
-def _group_pairs(rows: np.ndarray, depth: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Compare a group, divided by the next tokens of its prefixes if it is large: this loses pairs, so ``_meeting_pairs`` compares whole groups instead."""
-    if len(rows) < 2:
-        return
-    if len(rows) > COST and depth == 0:
-        rows = rows[np.unique(rows["id"], return_index=True)[1]]
-    if len(rows) > COST and depth < LONGEST - BASE:
-        token = rows["more"][:, depth]
-        order = np.argsort(token, kind="stable")
-        for part in np.split(order, np.flatnonzero(np.diff(token[order])) + 1):
-            yield from _group_pairs(rows[part], depth + 1)
-        return
-    yield from _compare(rows)
-
-
 def _dealt(key: int, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The comparisons of a large group: every two of its blocks, and every block with itself."""
     blocks = np.array_split(rows, min(BLOCKS, -(-len(rows) // DEALT)))
@@ -259,9 +306,27 @@ def _dealt_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _distinct(a, b)
 
 
+def _once(rows: np.ndarray) -> np.ndarray:
+    return rows[np.unique(rows["id"], return_index=True)[1]]
+
+
+def _group(key: int, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray] | pa.RecordBatch]:
+    """The pairs of one band, or blocks to compare."""
+    rows = _once(rows)
+    pair = int(rows["pair"][0])
+    if pair != _WHOLE:
+        i, j = divmod(pair, BLOCKS)
+        block = _block_of(rows["id"])
+        one, other = rows[block == i], rows[block == j]
+        yield from _compare(one, None if i == j else other)
+    elif len(rows) > DEALT:
+        yield from _dealt(key, rows)
+    else:
+        yield from _compare(rows)
+
+
 def _meeting_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows in the order of their prefixes to pairs of classes, or blocks to compare; a group can span batches."""
-    kept_keys, kept_rows = np.zeros(0, np.int64), np.zeros(0, _ROW)
+    """From rows in the order of their bands to pairs of classes, or blocks to compare; a band can span batches."""
 
     def pairs(keys: np.ndarray, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
         a, b = [], []
@@ -275,36 +340,40 @@ def _meeting_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             a.append(x["id"][fits])
             b.append(y["id"][fits])
         for at in np.flatnonzero(sizes > 2):
-            group = rows[edges[at] : edges[at + 1]]
-            if len(group) > COST:
-                group = group[np.unique(group["id"], return_index=True)[1]]
-            if len(group) > DEALT:
-                yield from _dealt(int(keys[edges[at]]), group)
-                continue
-            for i, j in _compare(group):
-                a.append(i)
-                b.append(j)
+            for met in _group(int(keys[edges[at]]), rows[edges[at] : edges[at + 1]]):
+                if isinstance(met, pa.RecordBatch):
+                    yield met
+                    continue
+                a.append(met[0])
+                b.append(met[1])
                 if sum(map(len, a)) > 200_000:
                     yield _as_work(_distinct(a, b))
                     a, b = [], []
         if a:
             yield _as_work(_distinct(a, b))
 
+    # What may go on in the next batch: rows of one band, in pieces; copies are dropped each time they have doubled.
+    key, kept, held, distinct = None, [], 0, 0
     for batch in batches:
         keys = batch.column(0).to_numpy(zero_copy_only=False)
         rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), _ROW)
-        keys, rows = np.concatenate((kept_keys, keys)), np.concatenate((kept_rows, rows))
         if not len(keys):
             continue
-        cut = int(np.searchsorted(keys, keys[-1]))
-        if cut:
-            yield from pairs(keys[:cut], rows[:cut])
-        kept_keys, kept_rows = keys[cut:], rows[cut:]
-        if len(kept_rows) > 4 * COST:  # one group over many batches: its copies needn't be kept
-            once = np.sort(np.unique(kept_rows["id"], return_index=True)[1])
-            kept_keys, kept_rows = kept_keys[once], kept_rows[once]
-    if len(kept_keys):
-        yield from pairs(kept_keys, kept_rows)
+        if key is not None and keys[-1] == key:  # all of it goes on with the same band
+            kept.append(rows)
+        else:
+            last = int(np.searchsorted(keys, keys[-1]))
+            before = np.concatenate([*kept, rows[:last]])
+            if len(before):
+                yield from pairs(np.concatenate([np.full(sum(map(len, kept)), key or 0, np.int64), keys[:last]]), before)
+            key, kept, distinct = keys[-1], [rows[last:]], 0
+        held = sum(map(len, kept))
+        if held > max(4 * COST, 2 * distinct):
+            kept = [_once(np.concatenate(kept))]
+            distinct = len(kept[0])
+    if kept:
+        rows = np.concatenate(kept)
+        yield from pairs(np.full(len(rows), key, np.int64), rows)
 
 
 def _distinct(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
@@ -313,16 +382,29 @@ def _distinct(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], names=["a", "b"])
 
 
-def _jaccard(batch: pa.RecordBatch) -> pa.RecordBatch:
-    keep, score = [], []
-    for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-        x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-        shared = len(np.intersect1d(x, y, assume_unique=True))
-        if shared >= SIMILARITY * (len(x) + len(y) - shared):
-            keep.append(i)
-            score.append(shared / (len(x) + len(y) - shared))
-    at = pa.array(keep, pa.int64())
-    return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(score, pa.float64())], names=["a", "b", "similarity"])
+def _jaccard(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+    """``a``, ``b`` and ``similarity`` of the similar ones of a cell's pairs, from the sets of the cell's classes (sorted tokens of 32 bits)."""
+    known = pa.compute.unique(sets["class"]).to_numpy(zero_copy_only=False)
+    held = dict(zip(sets["class"].to_pylist(), sets["tokens"].to_pylist(), strict=True))
+    tokens = [np.frombuffer(held[c], np.uint32) for c in known.tolist()]
+    order = np.argsort(known)
+    a, b = (order[np.searchsorted(known[order], pairs[c].to_numpy())] for c in ("a", "b"))
+    sizes = np.array([len(t) for t in tokens], np.int64)
+    at = np.argsort(a, kind="stable")
+    out_a, out_b, score = [], [], []
+    for run in np.split(at, np.flatnonzero(np.diff(a[at])) + 1):
+        own = tokens[a[run[0]]]
+        for i in range(0, len(run), ROWS_AT_ONCE):
+            others = b[run[i : i + ROWS_AT_ONCE]]
+            theirs = np.concatenate([tokens[k] for k in others])
+            place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+            shared = np.add.reduceat(own[place] == theirs, np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+            union = len(own) + sizes[others] - shared
+            fits = shared >= SIMILARITY * union
+            out_a.append(np.full(fits.sum(), known[a[run[0]]]))
+            out_b.append(known[others[fits]])
+            score.append(shared[fits] / union[fits])
+    return pa.table([np.concatenate(out_a), np.concatenate(out_b), np.concatenate(score)], names=["a", "b", "similarity"])
 
 
 def join_classes(pages: DataFrame, key: str = "page_id", title: str = "title", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -330,12 +412,16 @@ def join_classes(pages: DataFrame, key: str = "page_id", title: str = "title", t
     ensure_checkpoint_dir(pages.sparkSession)
     sketched = sketch_pages(pages, key, title, text).checkpoint()
     members = sketched.select("key", "class")
-    rows = map_batches(sketched.select("class", "size", "sketch"), _prefix_rows, "prefix long, row binary")
-    met = rows.repartition("prefix").sortWithinPartitions("prefix").mapInArrow(_meeting_pairs, "a long, b long, block binary, other binary").checkpoint()
+    sets = sketched.count()
+    hot = hot_slots(sketched, sets)
+    rows = map_batches(sketched.select("class", "size", "sketch"), lambda batch: _band_rows(batch, hot), "band long, row binary")
+    tasks = max(pages.sparkSession.sparkContext.defaultParallelism, sets * TABLES * (_ROW.itemsize + 16) // TASK_BYTES)
+    met = rows.repartition(tasks, "band").sortWithinPartitions("band").mapInArrow(_meeting_pairs, "a long, b long, block binary, other binary").checkpoint()
     dealt = met.where("block is not null").repartition("a", "b").select("block", "other").mapInArrow(_dealt_pairs, "a long, b long")
     meeting = met.where("block is null").select("a", "b").unionAll(dealt).distinct().checkpoint()
     wanted = meeting.select(F.col("a").alias("class")).union(meeting.select(F.col("b").alias("class"))).distinct()
-    few = 2 * meeting.count() <= BROADCAST_CLASSES
+    met_pairs = meeting.count()
+    few = 2 * met_pairs <= BROADCAST_CLASSES
     chosen = members.join(F.broadcast(wanted) if few else wanted, "class").groupBy("class").agg(F.min("key").alias("key"))
     chosen = F.broadcast(chosen) if few else chosen
     kind = pages.schema[key].dataType.simpleString()
@@ -348,10 +434,13 @@ def join_classes(pages: DataFrame, key: str = "page_id", title: str = "title", t
 
     part = pages.select(pages[key].alias("key"), pages[title].alias("title"), pages[text].alias("text")).join(chosen, "key")
     tokens = map_batches(part.select("key", "title", "text", "class"), sets, f"key {kind}, class long, tokens binary").select("class", "tokens").dropDuplicates(["class"])
-    x = tokens.select(F.col("class").alias("a"), F.col("tokens").alias("tokens_a"))
-    y = tokens.select(F.col("class").alias("b"), F.col("tokens").alias("tokens_b"))
-    both = meeting.join(x, "a").join(y, "b").select("a", "b", "tokens_a", "tokens_b")
-    return members, map_batches(both, _jaccard, "a long, b long, similarity double")
+    # Pairs and sets meet in the cells of a grid, so a set is sent at most once for each of its cells, however many pairs it has.
+    side = max(math.ceil(math.sqrt(pages.sparkSession.sparkContext.defaultParallelism)), math.ceil(math.sqrt(met_pairs / CELL_PAIRS)))
+    row, column = (F.pmod(F.xxhash64(c), F.lit(side)) for c in ("a", "b"))
+    cells = meeting.select((row * side + column).alias("cell"), "a", "b")
+    needed = cells.select(F.col("cell").alias("place"), F.col("a").alias("class")).unionAll(cells.select("cell", "b")).distinct()
+    placed = needed.join(tokens, "class").select("place", "class", "tokens")
+    return members, cells.groupBy("cell").cogroup(placed.groupBy("place")).applyInArrow(lambda pairs, sets: _jaccard(pairs, sets), "a long, b long, similarity double")
 
 
 def similar_pairs(pages: DataFrame, key: str = "page_id", title: str = "title", text: str = "text") -> DataFrame:
@@ -370,10 +459,37 @@ def similar_pairs(pages: DataFrame, key: str = "page_id", title: str = "title",
     return apart.unionByName(copies).where("page_a < page_b").distinct()
 
 
+def clusters(links: DataFrame) -> DataFrame:
+    """``class`` and ``cluster`` of every class that has a link: the least class that a chain of links leads to.
+
+    Every class takes the least label among its own and its neighbours', then the
+    label of its label, until none changes; a label's rows are added up before
+    they are gathered, so classes of many links cost no more than others.  Each
+    round is written, so a lost executor loses no more than its own part.
+    """
+    ensure_checkpoint_dir(links.sparkSession)
+    edges = links.select(F.col("a").alias("class"), F.col("b").alias("other")).unionAll(links.select(F.col("b").alias("class"), F.col("a").alias("other"))).distinct().checkpoint()
+    labels = edges.groupBy("class").agg(F.min("other").alias("least")).select("class", F.least("class", "least").alias("cluster")).checkpoint()
+    while True:
+        near = edges.join(labels.select(F.col("class").alias("other"), "cluster"), "other").groupBy("class").agg(F.min("cluster").alias("near"))
+        lower = labels.join(near, "class").select("class", F.col("cluster").alias("was"), F.least("cluster", "near").alias("low"))
+        jump = labels.select(F.col("class").alias("low"), F.col("cluster").alias("further"))
+        moved = lower.join(jump, "low", "left").select("class", "was", F.least("low", F.coalesce("further", "low")).alias("cluster")).checkpoint()
+        if moved.where("cluster <> was").isEmpty():
+            return moved.select("class", "cluster")
+        labels = moved.select("class", "cluster")
+
+
 def groups(pages: DataFrame, key: str = "page_id", title: str = "title", text: str = "text") -> DataFrame:
-    """``key``, ``class``, ``links`` of every text: its class of equal sets and how many other classes are similar to it; null and 0 for short texts."""
+    """One row a key: its ``class`` of equal sets, how many other classes are similar to it (``links``), its ``cluster`` (what chains of links hold together) and the cluster's ``representative``, the least key in it.
+
+    Texts of too few words have null classes and no links, and represent themselves.
+    """
     members, links = join_classes(pages, key, title, text)
+    links = links.select("a", "b").checkpoint()
     ends = links.select(F.col("a").alias("class")).unionAll(links.select(F.col("b").alias("class")))
     counted = ends.groupBy("class").agg(F.count(F.lit(1)).alias("links"))
-    joined = members.join(counted, "class", "left").select(F.col("key").alias(key), "class", F.coalesce("links", F.lit(0)).alias("links")).dropDuplicates([key])
-    return pages.select(key).distinct().join(joined, key, "left").select(key, "class", F.coalesce("links", F.lit(0)).alias("links"))
+    told = members.join(counted, "class", "left").join(clusters(links), "class", "left").select("key", "class", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("cluster", "class").alias("cluster"))
+    least = told.groupBy("cluster").agg(F.min("key").alias("representative"))
+    joined = told.join(least, "cluster").groupBy("key").agg(F.min(F.struct("class", "links", "cluster", "representative")).alias("own")).select(F.col("key").alias(key), "own.*")
+    return pages.select(key).distinct().join(joined, key, "left").select(key, "class", F.coalesce("links", F.lit(0)).alias("links"), "cluster", F.coalesce("representative", key).alias("representative"))
