@@ -99,6 +99,34 @@ def test_mixture_of_languages():
     assert got == {0: {"en", "ru"}, 1: {"de"}}
 
 
+def test_sentences_have_languages_or_none():
+    model = language.train({k: [v * 3] * 5 for k, v in SAMPLES.items()})
+    kernel = language.PageLanguages(model, residue.ResidueIndex({}, 1))
+    text = SAMPLES["en"] * 3 + "\n" + SAMPLES["ru"] + "Ωμέγα ψάρι ξύλο θάλασσα βουνό κρύο νερό."
+    got = kernel.sentence_rows([(5, None, text, None, None), (6, None, "Camp Chili", None, None)])
+    assert [(line, place, lang) for _, line, place, _, lang, _ in got] == [(0, 0, "en"), (0, 1, "en"), (0, 2, "en"), (1, 0, "ru"), (1, 1, "und")]
+    assert all(r[0] == 5 and r[5] > 0.6 for r in got) and got[3][3] == SAMPLES["ru"].strip()
+
+
+def test_the_training_sample_is_bounded_whole_and_stable(spark):
+    rows = [(i % 7, f"{i} " + "stir the beans and wait a while " * 4, "English") for i in range(60)] + [(1, "x" * 30_000, "en"), (None, None, "en"), (2, "Bohnen " * 20, "DE"), (3, "f" * 60, "?")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    one, two = (language.training_texts(d, per_language=10) for d in (df, df.repartition(7)))
+    assert one == two and len(one["en"]) == 10 and one["de"] == ["Bohnen " * 20] and all(len(t) > 120 for t in one["en"])
+    assert language.training_texts(df.where("false")) == {}
+
+
+def test_segments_of_whole_tables(spark, data):
+    pages, documents = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("pages", "documents"))
+    found = language.page_segments(pages, documents).checkpoint()
+    per_page = {r["page_id"]: r["n"] for r in found.groupBy("page_id").agg(F.count("*").alias("n")).collect()}
+    by_page = language.page_languages(pages, documents).checkpoint()
+    assert per_page == {r["page_id"]: r["n"] for r in by_page.groupBy("page_id").agg(F.sum("sentences").alias("n")).collect()}
+    named = found.where("lang <> 'und'").select("page_id", "lang").distinct()
+    assert named.join(by_page, ["page_id", "lang"], "left_anti").count() == 0 and found.where("lang = 'und'").count() <= 0.05 * found.count()
+    assert found.where("confidence < 0 or confidence > 1 or confidence is null").count() == 0
+
+
 def test_language_codes(spark):
     labels = [("English", "en"), ("en_GB", "en"), ("fr-CA", "fr"), (" DEUTSCH ", "de"), ("日本語", "ja"), ("n/a", None), ("", None), (None, None), ("und", None), ("swe", "sv")]
     df = spark.createDataFrame(labels, "l string, c string")

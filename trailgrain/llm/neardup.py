@@ -46,7 +46,7 @@ DEALT, BLOCKS = 8192, 8
 #: Bands that more than HOT sets may share are dealt out before they are gathered: their sets are copied BLOCKS times, so no task holds more than two blocks.
 HOT = 200_000
 #: Bytes of the rows of a task that gathers bands.
-TASK_BYTES = 16 << 20
+TASK_BYTES = 8 << 20
 ROWS_AT_ONCE = 128
 #: Pairs of a cell in which sets are compared.
 CELL_PAIRS = 500_000

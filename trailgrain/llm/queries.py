@@ -33,6 +33,10 @@ def p2_languages(spark: SparkSession, sf: str) -> DataFrame:
     return _languages(spark, sf)
 
 
+def p2_segments(spark: SparkSession, sf: str) -> DataFrame:
+    return language.page_segments(_table(spark, sf, "pages"), _table(spark, sf, "documents"))
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return boilerplate.find_furniture(_table(spark, sf, "pages"))
 
@@ -75,7 +79,7 @@ def p10_surrogates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p3_found, p3_main_content, p4_found, p4_groups, p6_found, p8_ids, p9_containers, p10_found, p10_redacted, p10_surrogates)}
+    return {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_languages, p2_segments, p3_found, p3_main_content, p4_found, p4_groups, p6_found, p8_ids, p9_containers, p10_found, p10_redacted, p10_surrogates)}
 
 
 def oracle_sql() -> dict[str, str]:
