@@ -258,3 +258,43 @@ def test_the_index_retrieves_every_exemplar_that_a_window_covers(seed):
             held = {p for p in wanted if missing not in p.split(" ")}
             if sum(index.weight[p] for p in held) >= residue.COVERAGE * index.total[i]:
                 assert any(i in index.by_word.get(w, ()) for w in own - {missing})
+
+
+# Pairs of encodings, and the least part of clean texts that comes back exactly after a whole, lossless misreading.
+RATES = [("utf_8", "cp1252", 1.0), ("utf_8", "mac_roman", 1.0), ("utf_8", "cp437", 1.0), ("utf_8", "iso8859_2", 0.95), ("cp1252", "cp1250", 0.85), ("mac_roman", "cp1252", 0.7), ("cp1252", "mac_roman", 0.9), ("cp437", "cp1252", 0.5), ("cp1252", "cp437", 0.85), ("cp1251", "koi8_r", 0.95)]
+
+
+@pytest.fixture(scope="module")
+def clean_texts(spark):
+    """(known contexts, other clean texts)."""
+    documents = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    trained = language.training_texts(documents, per_language=40)
+    used = {t for own in trained.values() for t in own}
+    others = [r["text"][:400] for r in documents.where("length(text) > 60").orderBy("doc_id").select("text").collect() if r["text"] not in used]
+    return encoding.contexts(used), [t for t in others if not encoding.diagnose(t)[0]]
+
+
+@pytest.mark.parametrize("written, read_as, least", RATES)
+def test_rates_of_exact_restoration(clean_texts, written, read_as, least):
+    known, texts = clean_texts
+    pairs = []
+    for t in texts:
+        try:
+            bad = t.encode(written).decode(read_as)
+        except UnicodeError:
+            continue
+        if bad != t:
+            pairs.append((bad, t))
+    assert len(pairs) >= 40 and sum(encoding.diagnose(bad, known)[1] == t for bad, t in pairs[:80]) >= least * len(pairs[:80])
+
+
+@pytest.mark.parametrize("written, read_as", [("koi8_r", "cp1251"), ("cp866", "cp1251"), ("cp1251", "koi8_r")])
+def test_cyrillic_comes_back(clean_texts, written, read_as):
+    assert encoding.diagnose(TEXTS[3].encode(written).decode(read_as), clean_texts[0])[1] == TEXTS[3]
+
+
+def test_no_contexts_change_nothing(spark):
+    assert encoding.contexts([]) == frozenset() and encoding.strangeness("é", None) == 0
+    df = spark.createDataFrame([(1, "Die Möhren".encode().decode("cp1252"), None), (1, None, "")], "page_id int, title string, text string")
+    known = encoding.contexts(TEXTS)
+    assert [r["restored"] for r in encoding.find_garbled(df, known=known).collect()] == [r["restored"] for r in encoding.find_garbled(df).collect()] == ["Die Möhren"]

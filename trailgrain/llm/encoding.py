@@ -14,6 +14,7 @@ texts can have been misread more than once.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from functools import lru_cache
 
 import pyarrow as pa
@@ -140,8 +141,40 @@ MEMO_CHARS = 64
 _short_oddness = lru_cache(maxsize=100_000)(_oddness)
 
 
+Contexts = frozenset[str]
+# Signs between the items of menus, which running text may lack.
+SEPARATORS = "·•–—»›…©"
+
+
+def _context(text: str) -> list[str]:
+    """Each character beyond ASCII with its neighbours, as "neighbour, it" and "it, neighbour"; digits stand as 0 and white space as a space."""
+    plain = _DIGIT.sub("0", _BLANK.sub(" ", f" {text.lower()} "))
+    out = []
+    for m in _BEYOND.finditer(plain):
+        i = m.start()
+        out += (plain[i - 1 : i + 1], plain[i : i + 2])
+    return out
+
+
+_DIGIT, _BLANK, _BEYOND = re.compile(r"\d"), re.compile(r"\s"), re.compile(r"[^\x00-\x7f]")
+
+
+def contexts(texts: Iterable[str]) -> Contexts:
+    """What stands beside the characters beyond ASCII in ``texts``, which should be well read and of all languages."""
+    found = frozenset(c for t in texts for c in _context(t))
+    return found | {pair for sign in SEPARATORS for pair in (f" {sign}", f"{sign} ")} if found else found
+
+
+def strangeness(text: str, known: Contexts | None) -> float:
+    """Half a point for each side on which a character beyond ASCII has a neighbour that it has nowhere in ``known``."""
+    if known is None or text.isascii():
+        return 0.0
+    return 0.5 * sum(c not in known for c in _context(text))
+
+
 _KANA, _KANJI = re.compile("[\u3041-\u30ff]"), re.compile("[\u4e00-\u9fff]")
-_WORDS = re.compile(r"[^\s]*[^\x00-\x7f][^\s]*")
+#: Words between ASCII spaces: others can be misread letters.
+_WORDS = re.compile(r"[^ \t\r\f\v]*[^\x00-\x7f][^ \t\r\f\v]*")
 
 
 def _decode_multi(text: str, read_as: str, written: str) -> str:
@@ -186,18 +219,21 @@ def _decode_from_cp932(text: str) -> str:
     return _CP932_RUN.sub(fix, text)
 
 
-def _decode_single(text: str, read_as: str, written: str) -> str:
+def _decode_single(text: str, read_as: str, written: str, known: Contexts | None = None) -> str:
     table = _single(read_as, written)
 
+    def measure(s: str) -> float:
+        return oddness(s) + strangeness(s, known)
+
     def fix(m: re.Match) -> str:
         word = m.group()
         plain = word.translate(table)
-        return plain if plain != word and oddness(plain) <= oddness(word) else word
+        return plain if plain != word and measure(plain) <= measure(word) else word
 
     out = []
     for line in text.split("\n"):  # a misread part is at least a line's worth of words
         plain = line if line.isascii() else _WORDS.sub(fix, line)
-        out.append(plain if oddness(plain) < oddness(line) else line)
+        out.append(plain if measure(plain) < measure(line) else line)
     return "\n".join(out)
 
 
@@ -213,9 +249,9 @@ _WINDOW = re.compile("[^\n]{0,12}[^\x00-\x7f][^\n]{0,36}")
 WINDOWS = 10
 
 
-def _choose(text: str, failed: set[tuple[str, str, bool]]) -> tuple[str, str, bool] | None:
-    """The pair of encodings, other than those that ``failed``, that makes ``text`` least odd; None if none does."""
-    before = low = oddness(text)
+def _choose(text: str, failed: set[tuple[str, str, bool]], known: Contexts | None = None) -> tuple[str, str, bool] | None:
+    """The pair of encodings, other than those that ``failed``, that makes ``text`` least odd (and, of those, least strange); None if none does."""
+    before, low = oddness(text), oddness(text) + strangeness(text, known)
     best, utf_8 = None, False
     odd_chars = sum(c > "\x7f" and c not in PLAIN for c in text)
     plain = _decode_multi(text, "cp1252", "utf_8")
@@ -231,25 +267,25 @@ def _choose(text: str, failed: set[tuple[str, str, bool]]) -> tuple[str, str, bo
             continue  # it couldn't have produced these characters
         if utf_8 and written != "utf_8" and low < 0.8 * before:
             break  # well-formed UTF-8 is no accident, so it goes before the others
-        plain = (_decode_multi if multi else _decode_single)(text, read_as, written)
+        plain = _decode_multi(text, read_as, written) if multi else _decode_single(text, read_as, written, known)
         if plain is not text and plain != text:
             odd = (oddness(plain) + (0.01 if multi else 0.4)) * (1 if read_as == "cp1252" else 1.1)
-            if odd < low:
-                best, low, utf_8 = candidate, odd, written == "utf_8"
+            if odd < before and odd + strangeness(plain, known) < low:
+                best, low, utf_8 = candidate, odd + strangeness(plain, known), written == "utf_8"
             if low < 0.1:
                 break
     return best
 
 
-def repair(text: str) -> str:
-    """``text`` with its misread parts restored, as far as their bytes are still there."""
+def repair(text: str, known: Contexts | None = None) -> str:
+    """``text`` with its misread parts restored, as far as their bytes are still there; ``known`` tells the pairs of encodings apart better."""
     before, failed = oddness(text), set()
     while before >= 1:  # each time there is a pair less to try or the text is less odd
         windows = [w for odd, w in sorted(((oddness(w), w) for w in _WINDOW.findall(text)), key=lambda x: -x[0]) if odd]
-        best = next(filter(None, (_choose("\n".join(windows[i : i + WINDOWS]), failed) for i in range(0, len(windows), WINDOWS))), None)
+        best = next(filter(None, (_choose("\n".join(windows[i : i + WINDOWS]), failed, known) for i in range(0, len(windows), WINDOWS))), None)
         if best is None:
             break
-        plain = (_decode_multi if best[2] else _decode_single)(text, *best[:2])
+        plain = _decode_multi(text, *best[:2]) if best[2] else _decode_single(text, *best[:2], known)
         after = oddness(plain)
         if after >= before:
             failed.add(best)
@@ -263,19 +299,20 @@ _CONTROLS = re.compile("[\x80-\x9f]")
 _ADDRESS = re.compile(r"\S*[/=&]\S*")
 
 
-def diagnose(text: str | None) -> tuple[bool, str | None, bool]:
+def diagnose(text: str | None, known: Contexts | None = None) -> tuple[bool, str | None, bool]:
     """(garbled, restored text, some of it lost) of one field; null and empty texts aren't garbled."""
     if not text:
         return False, text, False
-    plain = repair(text)
+    plain = repair(text, known)
     lost = bool(_LOST.search(_ADDRESS.sub(" ", plain))) or len(_CONTROLS.findall(plain)) > 2
     return plain != text or lost, plain, lost
 
 
-def find_garbled(pages: DataFrame, key: str = "page_id", fields: tuple[str, ...] = ("title", "text")) -> DataFrame:
+def find_garbled(pages: DataFrame, key: str = "page_id", fields: tuple[str, ...] = ("title", "text"), known: Contexts | None = None) -> DataFrame:
     """A row for each garbled field: ``key``, ``field_name``, ``restored``, ``lost``.
 
-    Fields without a suspect character never leave the JVM; most of them are
+    ``known``, contexts of characters in well-read texts, decides between pairs of
+    encodings that leave a text equally odd.  Fields without a suspect character never leave the JVM; most of them are
     told by one character class, before the longer expression.  Null, empty and
     blank fields give no row; repeated rows give repeated results.
     """
@@ -285,8 +322,10 @@ def find_garbled(pages: DataFrame, key: str = "page_id", fields: tuple[str, ...]
         F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.when(F.col(f).rlike(GATE) & F.col(f).rlike(SUSPECT), F.col(f)).alias("was")) for f in fields])).alias("cell"),
     ).select("key", "cell.*").where(F.col("was").isNotNull())
 
+    held = pages.sparkSession.sparkContext.broadcast(known)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [(i, *diagnose(s)) for i, s in enumerate(batch.column(2).to_pylist())]
+        rows = [(i, *diagnose(s, held.value)) for i, s in enumerate(batch.column(2).to_pylist())]
         rows = [r for r in rows if r[1]]
         at = pa.array([r[0] for r in rows], pa.int64())
         return pa.RecordBatch.from_arrays(

@@ -13,12 +13,18 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _garbled(spark: SparkSession, sf: str) -> DataFrame:
+    texts = language.training_texts(_table(spark, sf, "documents"))
+    known = encoding.contexts(t for own in texts.values() for t in own)
+    return encoding.find_garbled(_table(spark, sf, "pages"), known=known or None)
+
+
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return encoding.find_garbled(_table(spark, sf, "pages")).select("page_id", "field_name")
+    return _garbled(spark, sf).select("page_id", "field_name")
 
 
 def p1_restored(spark: SparkSession, sf: str) -> DataFrame:
-    return encoding.find_garbled(_table(spark, sf, "pages"))
+    return _garbled(spark, sf)
 
 
 def _languages(spark: SparkSession, sf: str) -> DataFrame:
