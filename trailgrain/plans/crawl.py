@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trailgrain.functions import urls
+from trailgrain.operators import scan
 from trailgrain.operators.ordering import with_position
 
 DOMAIN_CAP, BUDGET, TEXT_LIMIT, KEEP_CHARS = 300, 4000, 12_000, 400
@@ -68,18 +69,13 @@ def polite_delay(crawl_delay: Column) -> Column:
 
 
 def throttled(requests: DataFrame, host: str, at_ms: str, order: str, gap_ms: int = GAP_MS) -> DataFrame:
-    """``requests`` with ``start_ms``: each host's requests in order, at least ``gap_ms`` apart, none before its arrival."""
-    window = Window.partitionBy(host).orderBy(at_ms, order)
-    place = F.row_number().over(window) - 1
-    slack = requests.withColumn("_n", place.cast("long")).withColumn("_slack", F.col(at_ms) - F.lit(gap_ms) * F.col("_n"))
-    latest = F.max("_slack").over(window.rowsBetween(Window.unboundedPreceding, 0))
-    return slack.withColumn("start_ms", (latest + F.lit(gap_ms) * F.col("_n")).cast("long")).drop("_n", "_slack")
+    """``requests`` with ``start_ms``: each host's requests in order, at least ``gap_ms`` apart, none before its arrival; a host of any size is shared out."""
+    return scan.throttle(requests, host, at_ms, order, gap_ms)
 
 
 def debounced(events: DataFrame, key: str, at_ms: str, order: str, quiet_ms: int = 120) -> DataFrame:
-    """The last event of every burst: those that no event of the same key follows within ``quiet_ms``."""
-    following = F.lead(at_ms).over(Window.partitionBy(key).orderBy(at_ms, order))
-    return events.withColumn("_next", following).where(F.col("_next").isNull() | (F.col("_next") - F.col(at_ms) >= quiet_ms)).drop("_next")
+    """The last event of every burst: those that no event of the same key follows within ``quiet_ms``; a key of any size is shared out."""
+    return scan.last_of_bursts(events, key, at_ms, order, quiet_ms)
 
 
 def cache_key(canonical: Column) -> Column:
