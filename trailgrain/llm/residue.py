@@ -43,6 +43,8 @@ _CJK = re.compile("[ぁ-ヿ一-鿿]")
 
 def words(text: str) -> list[str]:
     """Lower-case words; runs of Japanese give their characters.  NaN keeps its case, as other words are spelt nan too."""
+    if "NaN" not in text and (text.isascii() or not _CJK.search(text)):
+        return _WORD.findall(text.lower().replace("’", "'"))
     out = []
     for w in _WORD.findall(text):
         if w != "NaN":
@@ -121,8 +123,14 @@ class ResidueIndex:
         filler = len(tokens & self.filler) >= FILLER_WORDS - 1
         if not found and not filler and not title:
             return False
-        for line in text.split("\n"):
-            for window in _SENTENCE.split(line):
+
+        def may_hold(part: str) -> bool:
+            """Whether ``part`` has an index word, or can be filler: what has neither isn't split into words."""
+            low = part.lower().replace("’", "'")
+            return filler or any(w in low for w in found) or "NaN" in found and "NaN" in part
+
+        for line in filter(may_hold, text.split("\n")):
+            for window in filter(may_hold, _SENTENCE.split(line)):
                 w = words(window)
                 if found and (here := found.intersection(w)) and self.window(w, here):
                     return True
