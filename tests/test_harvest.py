@@ -37,8 +37,8 @@ def test_same_site(spark):
 
 
 def test_robots_groups():
-    text = "Sitemap: /s1\nDisallow: /early\nUser-agent: MealBot\nUser-agent: other # x\nDisallow: /admin\nDisallow:\nUser-agent: *\nDisallow: /\nCrawl-delay: 10\nSitemap: /s2"
-    own = robots.parse(text, "mealbot")
+    text = "Sitemap: /s1\nDisallow: /early\nUser-agent: PotBot\nUser-agent: other # x\nDisallow: /admin\nDisallow:\nUser-agent: *\nDisallow: /\nCrawl-delay: 10\nSitemap: /s2"
+    own = robots.parse(text, "potbot")
     assert own == {"allow": [], "disallow": ["/admin"], "sitemaps": ["/s1", "/s2"], "crawl_delay": None}
     assert robots.parse(text, "x")["disallow"] == ["/"] and robots.parse(text, "x")["crawl_delay"] == 10 and robots.parse(None, "x")["disallow"] == []
 
