@@ -87,3 +87,9 @@ def test_packing_is_whole(spark):
     assert pieces == [(i, 2048 * i, 2048) for i in range(4)] + [(4, 8192, 1808)]
     assert all(r["piece_no"] == 0 for r in got if tokens[r["doc_id"]] <= 2048)
     assert packing.pack(spark.createDataFrame([], "doc_id long, n_tokens int")).count() == 0
+
+
+def test_a_hot_key_is_shared_out_over_groups(spark):
+    df = spark.range(4000).selectExpr("cast(null as bigint) as doc_id", "cast(id % 900 + 1 as int) as n_tokens").repartition(4)
+    packed = packing.pack(df, group_size=200).selectExpr("split(container, '/')[0] as g", "n_tokens").groupBy("g").count().collect()
+    assert len(packed) == 20 and max(r["count"] for r in packed) < 300 and sum(r["count"] for r in packed) == 4000

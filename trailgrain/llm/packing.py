@@ -68,12 +68,13 @@ def pack(sized: DataFrame, key: str = "doc_id", size: str = "n_tokens", capacity
 
     Rows of size null or below 1 are left out.  Equal sizes go in the order of
     their keys, repeated keys count as separate items, an empty input gives no
-    rows.  ``items`` is the number of items, which sets the number of groups;
+    rows.  Rows are dealt to groups by key and place, so a null or repeated key
+    that holds many rows is shared out.  ``items`` is the number of items, which sets the number of groups;
     without it they are counted.
     """
     sized = sized.select(F.col(key).alias("key"), F.col(size).cast("long").alias("size")).where(F.col("size") > 0)
     groups = max(1, math.ceil((sized.count() if items is None else items) / group_size))
-    grouped = sized.select(F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(groups)).cast("int").alias("group"), "key", "size")
+    grouped = sized.select(F.pmod(F.xxhash64("key", F.monotonically_increasing_id(), F.lit(seed)), F.lit(groups)).cast("int").alias("group"), "key", "size")
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("key")
