@@ -12,7 +12,7 @@ from trailgrain.operators import robots
 from trailgrain.plans import crawl, harvest
 from trailgrain.plans.state import decode_column, encode_column
 from trailgrain.registry import query, table, values
-from trailgrain.sources import readers, sitemap, writers
+from trailgrain.sources import generators, readers, sitemap, writers
 from trailgrain.sqltext import CANONICAL, LEADS, PLAN, SITE
 from trailgrain.streaming import incremental
 
@@ -348,3 +348,23 @@ def harvest_pages(spark, sf):
     return harvest.harvest(table(spark, sf, "leads"), _web(spark, sf)).select("url", F.col("text").alias("kept_text"), "chars")
 
 
+
+
+# ---- generated rows, parameters
+
+
+@query("SELECT 'u' || lpad(CAST(row_number() OVER (ORDER BY unit) AS VARCHAR), 3, '0') AS id, 'unit' AS sourcetype, dimension AS region, unit AS lexicon FROM units UNION ALL SELECT 'b' || lpad(CAST(row_number() OVER (ORDER BY b) AS VARCHAR), 3, '0'), 'base', b, b FROM (SELECT DISTINCT base_unit AS b FROM units)")
+def generated_cells(spark, sf):
+    """Cells from lists, here the units and base units, of which there is a fixed number."""
+    rows = table(spark, sf, "units").select("unit", "dimension", "base_unit").collect()
+    members = sorted((r["unit"], r["dimension"]) for r in rows)
+    bases = sorted({r["base_unit"] for r in rows})
+    return generators.cells(spark, {"u": ("unit", [(d, u) for u, d in members]), "b": ("base", [(b, b) for b in bases])})
+
+
+@query(f"{PLAN} SELECT domain, position // 3 AS place FROM (SELECT domain, row_number() OVER (ORDER BY estimate DESC, first_ord) - 1 AS position FROM p) WHERE position % 3 = 1 AND position // 3 < 7")
+def job_parameters(spark, sf):
+    """The targets of the second of three shards, at most seven domains, as a job's arguments say."""
+    job = generators.parameters(["--shard", "1", "--of", "3", "--domains", "7", "--budget", "many"], {"budget": crawl.BUDGET, "domains": 9999, "shard": 0, "of": 1})
+    chosen = harvest.targets(table(spark, sf, "leads"), job["shard"], job["of"], job["domains"])
+    return chosen.select("domain", F.floor(F.col("position") / job["of"]).cast("long").alias("place"))

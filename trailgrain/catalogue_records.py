@@ -284,3 +284,11 @@ def draft_originality(spark, sf):
     sources = keyed.select(F.col("page_id").alias("link"), "text")
     checked = quality.originality(drafts, sources, "link")
     return checked.select("page_id", F.round("overlap", 6).alias("overlap"), "original")
+
+
+@query("SELECT state, count(*) AS n FROM dishes, (SELECT unnest(['all', 'none']) AS state) WHERE NOT coalesce(draft, false) GROUP BY state")
+def all_and_none(spark, sf):
+    """Every option chosen, and none: neither narrows anything."""
+    dishes = table(spark, sf, "dishes")
+    counted = [FilterState.all().filtered(dishes).select(F.lit("all").alias("state")), FilterState.none().filtered(dishes).select(F.lit("none").alias("state"))]
+    return reduce(DataFrame.unionByName, counted).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
