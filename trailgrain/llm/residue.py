@@ -36,6 +36,8 @@ TEMPLATE = re.compile(
     r"|\{(?:[a-zA-Z]+[_.][\w.]*|title|author|name|date|year|servings|description|excerpt|content|body|url|email|city|username)\}"
     r"|(?<!\S)recipe_card\.\w+|(?m:^)[a-z]+(?:_[a-z]+)+$"
 )
+#: What any template has.
+_SIGN = re.compile(r"[{%<\[$@*_#]|recipe_card")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 _SENTENCE = re.compile(r"(?<=[.!?。！？])\s*")
 _CJK = re.compile("[ぁ-ヿ一-鿿]")
@@ -114,7 +116,7 @@ class ResidueIndex:
 
     def field(self, text: str, title: bool = False) -> bool:
         """Whether a title or text holds residue."""
-        if TEMPLATE.search(text):
+        if _SIGN.search(text) and TEMPLATE.search(text):
             return True
         if title and text.strip().lower() in self.whole:
             return True
