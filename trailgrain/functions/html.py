@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
+from trailgrain.functions.columns import let
+
 # The named entities (an unbreakable space becomes an ordinary one) and the patterns of entities, hidden elements, titles and blocks.
 ENTITIES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "amp": "&"}
 HEX, DECIMAL = r"(?i)&#x([0-9a-f]+);", r"&#([0-9]+);"
@@ -45,11 +47,12 @@ def _points(text: Column, pattern: str, base: int) -> Column:
         fits = (F.length(F.regexp_replace(digits, "^0+", "")) <= 8) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
         return F.when(fits, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
 
-    whole = F.regexp_extract_all(text, F.lit(pattern), 0)
-    digits = F.regexp_extract_all(text, F.lit(pattern), 1)
-    chars = F.zip_with(whole, digits, lambda e, d: F.coalesce(char(d), e))
-    joined = F.array_join(F.zip_with(F.split(text, pattern), chars, lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
-    return F.when(text.rlike(pattern), joined).otherwise(text)
+    def decoded(t: Column) -> Column:
+        chars = F.zip_with(F.regexp_extract_all(t, F.lit(pattern), 0), F.regexp_extract_all(t, F.lit(pattern), 1), lambda e, d: F.coalesce(char(d), e))
+        joined = F.array_join(F.zip_with(F.split(t, pattern), chars, lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
+        return F.when(F.contains(t, F.lit("&#")) & t.rlike(pattern), joined).otherwise(t)
+
+    return let(text, decoded)
 
 
 def decode_entities(text: Column) -> Column:

@@ -8,6 +8,8 @@ from urllib.parse import parse_qsl, quote, quote_plus
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from trailgrain.functions.columns import let
+
 # Parameters that identify a click or campaign; a seed's list is shorter.
 TRACKING = r"(?i)^(utm_|fbclid$|gclid$|mc_(cid|eid)$|igshid$|_ga$|ref$|source$)"
 SEED_TRACKING = r"(?i)^(utm_|fbclid$|gclid$|ref$|source$)"
@@ -62,20 +64,25 @@ _UNSAFE = r"[^A-Za-z0-9/%:@!$&'()*+,;=~\-._\[\]|^]"
 
 def _path(raw: Column) -> Column:
     """A path with unsafe characters encoded and dot segments resolved; most paths have neither and stay as they are."""
-    slashed = F.replace(raw, F.lit("\\"), F.lit("/"))
-    encoded = F.array_join(F.transform(F.split(slashed, ""), lambda c: F.when(c.rlike(_UNSAFE), F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))).otherwise(c)), "")
-    safe = F.when(slashed.rlike(_UNSAFE), encoded).otherwise(slashed)
     none = F.array().cast("array<string>")
-    segments = F.split(safe, "/")
-    count = F.size(segments)
 
     def step(kept: Column, segment: Column) -> Column:
         return F.when(segment == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(segment == ".", kept).otherwise(F.concat(kept, F.array(segment)))
 
-    kept = F.aggregate(F.slice(segments, 2, F.greatest(count - 1, F.lit(0))), none, step)
-    closed = F.when(F.element_at(segments, -1).isin(".", ".."), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
-    resolved = F.when(safe.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(closed, "/"))).otherwise(safe)
-    return F.when(resolved.isin("", "/"), F.lit("/")).otherwise(F.regexp_replace(resolved, "/+$", ""))
+    def encoded(slashed: Column) -> Column:
+        chars = F.transform(F.split(slashed, ""), lambda c: F.when(c.rlike(_UNSAFE), F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))).otherwise(c))
+        return F.when(slashed.rlike(_UNSAFE), F.array_join(chars, "")).otherwise(slashed)
+
+    def resolved(safe: Column) -> Column:
+        segments = F.split(safe, "/")
+        kept = F.aggregate(F.slice(segments, 2, F.greatest(F.size(segments) - 1, F.lit(0))), none, step)
+        closed = F.when(safe.rlike(r"/\.\.?$"), F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+        return F.when(safe.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(closed, "/"))).otherwise(safe)
+
+    def trimmed(path: Column) -> Column:
+        return F.when(path.isin("", "/"), F.lit("/")).otherwise(F.regexp_replace(path, "/+$", ""))
+
+    return let(let(let(F.replace(raw, F.lit("\\"), F.lit("/")), encoded), resolved), trimmed)
 
 
 def _query(raw: Column, tracking: str) -> Column:
@@ -92,16 +99,19 @@ def _query(raw: Column, tracking: str) -> Column:
 
 def canonical_url(url: Column, tracking: str = TRACKING) -> Column:
     """The same as ``canonical``, in built-in expressions: no row goes to Python."""
-    plain = F.regexp_replace(url, r"(?U)^\s+|\s+$", "")
-    scheme = F.lower(F.regexp_extract(plain, _WHOLE, 1))
-    host = F.lower(F.regexp_extract(plain, _WHOLE, 2))
-    port = F.regexp_replace(F.regexp_extract(host, ":([0-9]*)$", 1), "^0+(?=[0-9])", "")
-    name = F.regexp_replace(host, ":[0-9]*$", "")
-    default = (port == "") | ((scheme == "http") & (port == PORTS["http"])) | ((scheme == "https") & (port == PORTS["https"]))
-    shown = F.when(default, name).otherwise(F.concat(name, F.lit(":"), port))
-    query = _query(F.regexp_extract(plain, _WHOLE, 4), tracking)
-    whole = F.concat(scheme, F.lit("://"), shown, _path(F.regexp_extract(plain, _WHOLE, 3)), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
-    return F.when(plain.rlike(_WHOLE) & host.rlike(_HOST), whole).otherwise(url)
+
+    def parts(plain: Column) -> Column:
+        host = F.lower(F.regexp_extract(plain, _WHOLE, 2))
+        return F.struct(F.lower(F.regexp_extract(plain, _WHOLE, 1)).alias("scheme"), host.alias("host"), F.regexp_replace(F.regexp_extract(host, ":([0-9]*)$", 1), "^0+(?=[0-9])", "").alias("port"), F.regexp_extract(plain, _WHOLE, 3).alias("path"), _query(F.regexp_extract(plain, _WHOLE, 4), tracking).alias("query"))
+
+    def joined(p: Column) -> Column:
+        name = F.regexp_replace(p["host"], ":[0-9]*$", "")
+        default = (p["port"] == "") | ((p["scheme"] == "http") & (p["port"] == PORTS["http"])) | ((p["scheme"] == "https") & (p["port"] == PORTS["https"]))
+        shown = F.when(default, name).otherwise(F.concat(name, F.lit(":"), p["port"]))
+        whole = F.concat(p["scheme"], F.lit("://"), shown, _path(p["path"]), F.when(p["query"] != "", F.concat(F.lit("?"), p["query"])).otherwise(""))
+        return F.when(p["host"].rlike(_HOST), whole)  # an empty host where the URL doesn't parse
+
+    return F.coalesce(let(F.regexp_replace(url, r"(?U)^\s+|\s+$", ""), lambda plain: let(parts(plain), joined)), url)
 
 
 def origin(url: Column) -> Column:

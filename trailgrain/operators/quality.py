@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trailgrain.functions import vocab
+from trailgrain.functions.columns import let
 
 
 def _within(column: str, values) -> Column:
@@ -155,10 +156,14 @@ def representatives(members: DataFrame, cluster: str, key: str, *best: Column) -
 
 
 def shingles(text: Column, size: int) -> Column:
-    """The distinct runs of ``size`` lower-case words (of letters and digits) of a text; null and shorter texts have none."""
+    """The distinct runs of ``size`` lower-case words (of letters and digits) of a text, as hashes of 64 bits; null and shorter texts have none."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    runs = F.transform(F.sequence(F.lit(1), F.size(words) - size + 1), lambda i: F.array_join(F.slice(words, i, size), " "))
-    return F.when(F.size(words) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
+
+    def runs(own: Column) -> Column:
+        joined = F.transform(F.sequence(F.lit(1), F.size(own) - size + 1), lambda i: F.xxhash64(F.array_join(F.slice(own, i, size), " ")))
+        return F.when(F.size(own) >= size, F.array_distinct(joined)).otherwise(F.array().cast("array<long>"))
+
+    return let(words, runs)
 
 
 #: A draft shares at most this part of its runs of words with its source.
@@ -174,7 +179,7 @@ def originality(drafts: DataFrame, sources: DataFrame, link: str, text: str = "t
     """
     held = sources.select(F.col(link).alias("_link"), shingles(F.col(text), size).alias("_theirs"))
     met = drafts.withColumn("_own", shingles(F.col(text), size)).join(held, F.col(link) == F.col("_link"), "left")
-    shared = F.size(F.array_intersect("_own", F.coalesce("_theirs", F.array().cast("array<string>"))))
+    shared = F.size(F.array_intersect("_own", F.coalesce("_theirs", F.array().cast("array<long>"))))
     overlap = F.when(F.size("_own") > 0, shared / F.size("_own")).otherwise(F.lit(0.0))
     return met.withColumn("overlap", overlap).withColumn("original", F.col("overlap") <= most).drop("_own", "_link", "_theirs")
 
