@@ -49,7 +49,7 @@ HOT = 200_000
 TASK_BYTES = 8 << 20
 ROWS_AT_ONCE = 128
 #: Pairs of a cell in which sets are compared.
-CELL_PAIRS = 500_000
+CELL_PAIRS = 200_000
 CHUNK_CHARS = 1_500_000
 _BITS = np.uint64((1 << 52) - 1)
 _ODD = np.random.default_rng(20250101).integers(1, 1 << 63, size=TABLES * BAND, dtype=np.uint64) | np.uint64(1)
