@@ -298,3 +298,45 @@ def test_no_contexts_change_nothing(spark):
     df = spark.createDataFrame([(1, "Die Möhren".encode().decode("cp1252"), None), (1, None, "")], "page_id int, title string, text string")
     known = encoding.contexts(TEXTS)
     assert [r["restored"] for r in encoding.find_garbled(df, known=known).collect()] == [r["restored"] for r in encoding.find_garbled(df).collect()] == ["Die Möhren"]
+
+
+def test_all_labelled_documents_give_contexts(spark):
+    rows = [(i, f"stir the beans and wait {i} minutes or a little longer é", "en") for i in range(300)]
+    rows += [(i, f"stir the beans and wait {i} minutes or a little longer {chr(0x4E00 + i)}", "ja") for i in range(300)]
+    long = "a plain sentence. " * 2000 + "jalapeños"
+    rows += [(700, long, "en"), (701, "kaszę", "Polish"), (702, "garçon", "xx"), (703, "Die Möhren kochen".encode().decode("cp1252"), "de"), (704, None, "de"), (705, "Die Möhren", "DE")]
+    documents = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    known = encoding.contexts_of(language.labelled(documents.repartition(5)))
+    assert known == encoding.contexts(t for i, t, _ in rows if i not in (702, 703, 704)) and {f" {chr(0x4E00 + i)}" for i in range(300)} < known
+    assert encoding.contexts_of(language.labelled(documents.where("false"))) == frozenset()
+
+
+def test_all_labelled_documents_train_the_model(spark):
+    rng = random.Random(3)
+    rows = [(i, code, SAMPLES[code] + "".join(rng.choice("abcdefgh") for _ in range(9)) + " wait. " * (i % 5)) for i in range(400) for code in SAMPLES]
+    rows += [(1000, "en", SAMPLES["en"] * 400 + "zyxqzj."), (1001, "en", SAMPLES["ru"]), (1002, "de", SAMPLES["fr"] * 2), (1003, "es", "!"), (1004, None, "qqqq"), (1005, "it", SAMPLES["de"]), (1006, "en", None)]
+    documents = spark.createDataFrame([(i, text, code) for i, code, text in rows], "doc_id int, text string, lang string")
+    texts = {}
+    for _, code, text in rows:
+        if code and text:
+            texts.setdefault(code, []).append(text)
+    expected = language.train(texts)
+    for part in (documents, documents.repartition(7)):
+        model = language.train_on(part)
+        assert model.languages == expected.languages == ("en", "de", "fr", "it", "ru") and model.index == expected.index and (model.table == expected.table).all()
+        assert model.unknown == expected.unknown > -20 and "zyx" in model.index and "qqq" not in model.index
+    assert language.train_on(documents, calibrated=False).index == expected.index
+    empty = language.train_on(documents.where("false"))
+    assert empty.languages == ("en",) and empty.unknown == float("-inf")
+
+
+def test_words_are_runs_of_letters_of_any_plane():
+    every = " ".join(chr(c) + "x" for c in range(0x30000) if not 0xD800 <= c < 0xE000 and not language._CJK.search(chr(c).lower()))
+    assert [w for t in every.split(" ") for w in language.split_words(t)] == language._TOKEN.findall(every.lower())
+    assert language.split_words("𝒜b 😀c ねぎ") == ["𝒜b", "c", "ねぎ"]
+
+
+def test_languages_count_the_same_for_the_threshold():
+    model = language.train({"en": [SAMPLES["en"]] * 4, "de": [SAMPLES["de"]] * 4})
+    model.calibrate({"en": language.Counter({-10: 10_000}), "de": language.Counter({-50: 3, -30: 97})})
+    assert model.unknown == -50 / language.STEPS

@@ -161,10 +161,31 @@ _DIGIT, _BLANK, _BEYOND = re.compile(r"\d"), re.compile(r"\s"), re.compile(r"[^\
 
 def contexts(texts: Iterable[str]) -> Contexts:
     """What stands beside the characters beyond ASCII in ``texts``, which should be well read and of all languages."""
-    found = frozenset(c for t in texts for c in _context(t))
+    return _separated(c for t in texts for c in _context(t))
+
+
+def _separated(found: Iterable[str]) -> Contexts:
+    found = frozenset(found)
     return found | {pair for sign in SEPARATORS for pair in (f" {sign}", f"{sign} ")} if found else found
 
 
+def contexts_of(texts: DataFrame, text: str = "text") -> Contexts:
+    """The contexts of all ``texts`` but the garbled ones; the driver gets each only once, and there are as many as pairs of the languages' letters.
+
+    Whether a text is garbled is asked only if it has contexts that no text of its batch before it had.
+    """
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found: set[str] = set()
+        for t in batch.column(0).to_pylist():
+            if not t.isascii() and (new := set(_context(t)) - found) and not diagnose(t)[0]:
+                found |= new
+        return pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["context"])
+
+    part = texts.where(F.col(text).isNotNull()).select(text)
+    return _separated(r["context"] for r in map_batches(part, run, "context string").distinct().collect())
+
+
 def strangeness(text: str, known: Contexts | None) -> float:
     """Half a point for each side on which a character beyond ASCII has a neighbour that it has nowhere in ``known``."""
     if known is None or text.isascii():

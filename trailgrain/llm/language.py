@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +43,12 @@ NAMES = {
     "ja": "ja jpn japanese 日本語 jp",
 }
 
-#: Labelled documents for training: so many a language at most, whole ones of up to so many characters.
+#: Bounds of ``training_texts``: so many documents a language at most, whole ones of up to so many characters.
 TRAINING_DOCS, TRAINING_CHARS = 250, 20_000
 #: Part of the training sentences that are less like their language than a sentence of no known language is taken to be.
 UNLIKE = 0.01
+#: Log-likelihoods of an n-gram, of which that part is taken, are rounded to one of so many steps.
+STEPS = 10_000
 UNKNOWN = "und"
 #: Longest n-grams of the model.
 ORDER = 3
@@ -54,9 +56,15 @@ ORDER = 3
 PENALTY = 8.0
 ROUNDS = 8
 MEMO_WORDS = 200_000
+#: Words whose scores are added up at once, give or take a text.
+PIECE = 50_000
 
 _TOKEN = re.compile(r"[^\W\d_]+")
 _CJK = re.compile("[々-ヿ一-鿿]")
+#: _TOKEN of texts without _SPECIAL: the letters of the basic plane as one character set, which is found faster.
+_BASIC = re.compile("[" + "".join(f"{run[0]}-{run[-1]}" for run in _TOKEN.findall("".join(map(chr, range(0x10000))))) + "]+")
+_SPECIAL = re.compile("[々-ヿ一-鿿\U00010000-\U0010ffff]")
+_STOP = re.compile("[.!?。！？]")
 #: A whole sentence: up to its final stop, with what closes it.
 _SENTENCE = re.compile(r"[^.!?。！？]*[.!?。！？]+[”“\"'’»)\]」]*(?=\s|$|(?<=[。！？]))")
 
@@ -73,21 +81,17 @@ def site_key(domain: Column) -> Column:
 
 
 class NgramModel:
-    """Log-probabilities of character n-grams under each language."""
-
-    def __init__(self, texts: dict[str, list[str]]):
-        self.languages = tuple(lang for lang in LANGUAGES if texts.get(lang)) or ("en",)
-        grams = {lang: Counter() for lang in self.languages}
-        for lang in self.languages:
-            for word, n in Counter(w for t in texts.get(lang, ()) for w in split_words(t)).items():
-                for g in ngrams(word):
-                    grams[lang][g] += n
-        self.index = {g: i for i, g in enumerate(sorted(set().union(*grams.values())))}
+    """Log-probabilities of character n-grams under each language, from how often each occurs in it."""
+
+    def __init__(self, grams: dict[str, Counter[str]]):
+        self.languages = tuple(lang for lang in LANGUAGES if grams.get(lang)) or ("en",)
+        self.index = {g: i for i, g in enumerate(sorted(set().union(*(grams.get(lang, ()) for lang in self.languages))))}
         table = np.zeros((len(self.index) + 1, len(self.languages)), dtype=np.float32)
         for j, lang in enumerate(self.languages):
-            total = sum(grams[lang].values()) + 0.1 * (len(self.index) + 1)
+            own = grams.get(lang, {})
+            total = sum(own.values()) + 0.1 * (len(self.index) + 1)
             column = np.full(len(self.index) + 1, math.log(0.1 / total), dtype=np.float32)
-            for g, n in grams[lang].items():
+            for g, n in own.items():
                 column[self.index[g]] = math.log((n + 0.1) / total)
             table[:, j] = column
         self.table = table
@@ -108,34 +112,62 @@ class NgramModel:
         self.words[w] = at
         return at
 
-    def calibrate(self, texts: dict[str, list[str]]) -> None:
-        """Set ``unknown``, the log-likelihood of an n-gram in no language: what only UNLIKE of the training sentences fall below."""
-        own = [(lang, s) for lang in self.languages for t in texts.get(lang, ()) for s in sentences(t.split("\n"))]
-        if own:
-            sizes = np.array([grams_of(s) for _, s in own])
-            scores = self.segments([s for _, s in own])[np.arange(len(own)), [self.languages.index(lang) for lang, _ in own]]
-            self.unknown = float(np.quantile(scores / np.maximum(sizes, 1), UNLIKE))
-        self.clear()
+    def placed(self, lang: str, texts: list[str]) -> np.ndarray:
+        """Whether each text is likeliest in ``lang``."""
+        return self.segments(texts).argmax(axis=1) == self.languages.index(lang)
+
+    def likeness(self, lang: str, texts: Iterable[str]) -> Counter[int]:
+        """How many sentences of ``texts`` have each log-likelihood of an n-gram under ``lang``, in STEPS."""
+        own = [s for t in texts for s in sentences(t.split("\n"))]
+        sizes = np.array([grams_of(s) for s in own])
+        return Counter(np.rint(self.segments(own)[:, self.languages.index(lang)] / np.maximum(sizes, 1) * STEPS).astype(np.int64).tolist())
+
+    def calibrate(self, found: dict[str, Counter[int]]) -> None:
+        """Set ``unknown``, the log-likelihood of an n-gram in no language: what only UNLIKE of the training sentences fall below.
+
+        ``found`` has the ``likeness`` of each language's sentences; languages count
+        the same, whatever the number of their sentences.
+        """
+        shares: Counter[int] = Counter()
+        own = [found[lang] for lang in self.languages if found.get(lang)]
+        for counts in own:
+            size = sum(counts.values())
+            for step, n in counts.items():
+                shares[step] += n / size
+        below = 0.0
+        for step in sorted(shares):
+            below += shares[step]
+            if below > UNLIKE * len(own):
+                self.unknown = step / STEPS
+                break
 
     def segments(self, texts: list[str]) -> np.ndarray:
         """Log-likelihoods of each text, one row each."""
         if len(self.words) > MEMO_WORDS:
             self.clear()
-        known, rows, ends = self.words, [], []
-        for t in texts:
-            for w in split_words(t):
-                at = known.get(w)
-                rows.append(self.word(w) if at is None else at)
+        out, rows, ends = [np.zeros((0, len(self.languages)))], [], [0]
+        for i, t in enumerate(texts):
+            words = split_words(t)
+            found = list(map(self.words.get, words))
+            if None in found:
+                known = self.words
+                found = [known[w] if w in known else self.word(w) for w in words]
+            rows += found
             ends.append(len(rows))
-        sums = np.concatenate((np.zeros((1, len(self.languages))), np.cumsum(self.scores[rows], axis=0, dtype=np.float64)))
-        ends = np.array([0, *ends])
-        return sums[ends[1:]] - sums[ends[:-1]]
+            if len(rows) > PIECE or i + 1 == len(texts):
+                sums = np.concatenate((np.zeros((1, len(self.languages))), np.cumsum(self.scores[rows], axis=0, dtype=np.float64)))
+                out.append(sums[ends[1:]] - sums[ends[:-1]])
+                rows, ends = [], [0]
+        return np.concatenate(out)
 
 
 def split_words(text: str) -> list[str]:
     """Lower-case words; of Japanese, the runs of its characters in pieces of three."""
+    low = text.lower()
+    if low.isascii() or not _SPECIAL.search(low):
+        return _BASIC.findall(low)
     out = []
-    for w in _TOKEN.findall(text.lower()):
+    for w in _TOKEN.findall(low):
         if not w.isascii() and _CJK.search(w):
             out.extend(w[i : i + 3] for i in range(0, len(w), 2))
         else:
@@ -153,8 +185,25 @@ def grams_of(text: str) -> int:
     return sum(len(w) for w in split_words(text))
 
 
+def gram_counts(texts: Iterable[str]) -> Counter[str]:
+    """How often each n-gram occurs in ``texts``."""
+    words: Counter[str] = Counter()
+    for t in texts:
+        words.update(split_words(t))
+    counts: Counter[str] = Counter()
+    for word, n in words.items():
+        for g in ngrams(word):
+            counts[g] += n
+    return counts
+
+
+def labelled(documents: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
+    """``code`` and ``text`` of all documents with a text whose label names one of the languages."""
+    return documents.select(language_code(F.col(label)).alias("code"), F.col(text).alias("text")).where("code is not null and trim(text) <> ''")
+
+
 def training_texts(documents: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id", per_language: int = TRAINING_DOCS) -> dict[str, list[str]]:
-    """Up to ``per_language`` labelled texts of each language: those of the least hash, so a table always gives the same.
+    """A sample, which no query uses: up to ``per_language`` labelled texts of each language, those of the least hash, so a table always gives the same.
 
     Each task keeps the least of its own rows before they are gathered, and the
     sample is all that the driver gets: at most ``per_language`` texts of
@@ -172,15 +221,64 @@ def training_texts(documents: DataFrame, text: str = "text", label: str = "lang"
 
 def train(texts: dict[str, list[str]], rounds: int = 2) -> NgramModel:
     """A model of ``texts``; labels can be wrong, so later rounds leave out the texts that the model before puts elsewhere."""
-    model = NgramModel(texts)
+    model = NgramModel({lang: gram_counts(own) for lang, own in texts.items()})
     for _ in range(rounds - 1):
-        kept = {}
-        for lang, own in texts.items():
-            if lang in model.languages:
-                best = model.segments(own).argmax(axis=1)
-                kept[lang] = [t for t, b in zip(own, best, strict=True) if model.languages[b] == lang] or own
-        model, texts = NgramModel(kept), kept
-    model.calibrate(texts)
+        texts = {lang: [t for t, here in zip(own, model.placed(lang, own), strict=True) if here] or own for lang, own in texts.items() if lang in model.languages}
+        model = NgramModel({lang: gram_counts(own) for lang, own in texts.items()})
+    model.calibrate({lang: model.likeness(lang, own) for lang, own in texts.items() if lang in model.languages})
+    model.clear()
+    return model
+
+
+def _counted(texts: DataFrame, count: Callable[[str, list[str]], Counter], kind: pa.DataType, schema: str) -> list[tuple]:
+    """The sums, over all texts of a language, of what ``count`` gives for some of them: (language, counted, number); added up before and after the shuffle."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own: dict[str, list[str]] = {}
+        for code, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own.setdefault(code, []).append(text)
+        rows = [(code, what, n) for code, some in own.items() for what, n in count(code, some).items()]
+        code, what, n = zip(*rows, strict=True) if rows else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(code, pa.string()), pa.array(what, kind), pa.array(n, pa.int64())], names=["code", "what", "n"])
+
+    return [tuple(r) for r in map_batches(texts, run, f"code string, what {schema}, n long").groupBy("code", "what").agg(F.sum("n")).collect()]
+
+
+def train_on(documents: DataFrame, calibrated: bool = True) -> NgramModel:
+    """The model that ``train`` makes of all labelled documents, each read where it lies.
+
+    The driver gets counts only: of n-grams, of which there are as many as the
+    languages' letters make up, and, if ``calibrated``, of rounded likenesses.
+    The documents are read twice, for that a third time.
+    """
+    texts, context = labelled(documents), documents.sparkSession.sparkContext
+
+    def totals(count: Callable[[str, list[str]], Counter], kind: pa.DataType, schema: str) -> dict[str, Counter]:
+        out: dict[str, Counter] = {}
+        for code, what, n in _counted(texts, count, kind, schema):
+            out.setdefault(code, Counter())[what] = n
+        return out
+
+    every = totals(lambda code, own: gram_counts(own), pa.string(), "string")
+    first = context.broadcast(NgramModel(every))
+
+    def elsewhere(code: str, own: list[str]) -> Counter[str]:
+        return gram_counts(t for t, here in zip(own, first.value.placed(code, own), strict=True) if not here) if code in first.value.languages else Counter()
+
+    gone = totals(elsewhere, pa.string(), "string")
+    kept = {code: own - gone.get(code, Counter()) for code, own in every.items()}
+    whole = frozenset(code for code, own in kept.items() if not own)
+    model = NgramModel({code: own or every[code] for code, own in kept.items()})
+    if calibrated:
+        second = context.broadcast(model)
+
+        def likenesses(code: str, own: list[str]) -> Counter[int]:
+            if code not in second.value.languages:
+                return Counter()
+            here = [True] * len(own) if code in whole else first.value.placed(code, own)
+            return second.value.likeness(code, [t for t, h in zip(own, here, strict=True) if h])
+
+        model.calibrate(totals(likenesses, pa.int64(), "long"))
     return model
 
 
@@ -217,7 +315,7 @@ def mixtures(scores: np.ndarray, page: np.ndarray, pages: int, penalty: float =
 
 def sentences(lines: list[str]) -> list[str]:
     """The whole sentences of body lines; what is left without a final stop, such as headlines and lists, is none."""
-    return [s for line in lines for s in _SENTENCE.findall(line) if len(s) > 3 and _TOKEN.search(s)]
+    return [s for line in lines if _STOP.search(line) for s in _SENTENCE.findall(line) if len(s) > 3 and _TOKEN.search(s)]
 
 
 Row = tuple[int, "str | None", str, "str | None", "int | None"]
@@ -268,9 +366,9 @@ class PageLanguages:
         return out
 
 
-def _kernel(pages: DataFrame, documents: DataFrame) -> Callable[[], PageLanguages]:
-    """The kernel for workers: trained once, on the driver, and broadcast; its size is bounded by the sample."""
-    held = pages.sparkSession.sparkContext.broadcast((train(training_texts(documents)), document_frequencies(pages)))
+def _kernel(pages: DataFrame, documents: DataFrame, calibrated: bool = False) -> Callable[[], PageLanguages]:
+    """The kernel for workers: trained once, on all labelled documents, and broadcast; its size is that of the n-grams there are."""
+    held = pages.sparkSession.sparkContext.broadcast((train_on(documents, calibrated), document_frequencies(pages)))
     made: list[PageLanguages] = []
 
     def get() -> PageLanguages:
@@ -317,7 +415,7 @@ def page_segments(pages: DataFrame, documents: DataFrame, key: str = "page_id")
     Sentences that are like none of the languages have ``und``.  The same pages
     and rows give none as in ``page_languages``.
     """
-    kernel = _kernel(pages, documents)
+    kernel = _kernel(pages, documents, calibrated=True)
     types = [pa.int32(), pa.int32(), pa.string(), pa.string(), pa.float64()]
     return _mapped(pages, key, lambda rows: kernel().sentence_rows(rows), "line_no int, place int, sentence string, lang string, confidence double", types)
 

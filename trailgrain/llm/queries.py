@@ -14,8 +14,7 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _garbled(spark: SparkSession, sf: str) -> DataFrame:
-    texts = language.training_texts(_table(spark, sf, "documents"))
-    known = encoding.contexts(t for own in texts.values() for t in own)
+    known = encoding.contexts_of(language.labelled(_table(spark, sf, "documents")))
     return encoding.find_garbled(_table(spark, sf, "pages"), known=known or None)
 
 
