@@ -340,3 +340,15 @@ def test_languages_count_the_same_for_the_threshold():
     model = language.train({"en": [SAMPLES["en"]] * 4, "de": [SAMPLES["de"]] * 4})
     model.calibrate({"en": language.Counter({-10: 10_000}), "de": language.Counter({-50: 3, -30: 97})})
     assert model.unknown == -50 / language.STEPS
+
+
+@pytest.mark.parametrize("columns", [("rec_kind", "rec_id", "lang"), ("rec_kind", "rec_id", "lang", "confidence")])
+def test_both_uses_of_the_languages_of_pages_share_a_shuffle(spark, data, columns):
+    pages, leads, documents = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("pages", "leads", "documents"))
+    rows = language.language_rows(pages, leads, documents).select(*columns)
+    got = sorted(map(tuple, rows.collect()))
+    final = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("MapInArrow") == 1 and "ReusedExchange" in final
+    found = spark.createDataFrame(language.page_languages(pages, documents).collect(), "page_id long, lang string, confidence double, sentences int")
+    expected = found.selectExpr("'page' as rec_kind", "page_id as rec_id", "lang", "confidence").union(language.relabelled_leads(leads, pages, found).selectExpr("'lead'", "lead_id", "lang", "confidence")).select(*columns)
+    assert [r[:3] for r in got] == [r[:3] for r in sorted(map(tuple, expected.collect()))] and len(got) > found.count()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailgrain.functions.arrowkit import ensure_checkpoint_dir, map_batches
+from trailgrain.functions.arrowkit import map_batches
 from trailgrain.llm.boilerplate import restored, worker_blocks
 from trailgrain.llm.residue import ResidueIndex, document_frequencies
 
@@ -439,10 +439,12 @@ def relabelled_leads(leads: DataFrame, pages: DataFrame, found: DataFrame) -> Da
 def language_rows(pages: DataFrame, leads: DataFrame, documents: DataFrame) -> DataFrame:
     """``rec_kind``, ``rec_id``, ``lang``, ``confidence`` of pages and of wrongly labelled leads.
 
-    The languages of pages are written once, as both results need them.
+    Both results need the languages of pages, which are found once: the second
+    use reads the first one's shuffle.  For that the two exchanges must be the
+    same, so every column is a key, which keeps all of them below it, and a
+    condition that Spark can't move keeps the join's conditions above it.
     """
-    ensure_checkpoint_dir(pages.sparkSession)
-    found = page_languages(pages, documents).checkpoint()
+    found = page_languages(pages, documents).select("page_id", "lang", "confidence").repartition("page_id", "lang", "confidence")
     page_rows = found.select(F.lit("page").alias("rec_kind"), F.col("page_id").alias("rec_id"), "lang", "confidence")
-    lead_rows = relabelled_leads(leads, pages, found).select(F.lit("lead").alias("rec_kind"), F.col("lead_id").alias("rec_id"), "lang", "confidence")
+    lead_rows = relabelled_leads(leads, pages, found.where(F.spark_partition_id() >= 0)).select(F.lit("lead").alias("rec_kind"), F.col("lead_id").alias("rec_id"), "lang", "confidence")
     return page_rows.unionByName(lead_rows)
