@@ -1,6 +1,7 @@
 """Every query that SQL can express gives the rows that DuckDB gives for it."""
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 
 from trailgrain import catalogue
@@ -30,6 +31,24 @@ def test_query_equals_sql(spark, duck, data, name):
     assert _rows(df.columns, df.collect()) == _rows(names, result.fetchall())
 
 
+@pytest.mark.parametrize("name, table", [("stream_first_seen", "pages"), ("stream_throttled", "events")])
+def test_stream_of_a_table_in_a_folder(spark, data, name, table, tmp_path):
+    spark.read.parquet(f"{data}/{table}.parquet").repartition(3).write.parquet(str(tmp_path / f"{table}.parquet"))
+    df = catalogue.queries()[name](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    result = con.execute(catalogue.oracle_sql()[name])
+    assert _rows(df.columns, df.collect()) == _rows([d[0] for d in result.description], result.fetchall())
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_stream_of_an_empty_table(spark, data, folder, tmp_path):
+    if folder:
+        (tmp_path / "pages.parquet").mkdir()
+    pq.write_table(pq.read_table(f"{data}/pages.parquet").slice(0, 0), tmp_path / "pages.parquet" / "part-0.parquet" if folder else tmp_path / "pages.parquet")
+    assert catalogue.queries()["stream_first_seen"](spark, str(tmp_path)).collect() == []
+
+
 def test_all_queries_are_registered():
     import __spark_entry__ as entry
 

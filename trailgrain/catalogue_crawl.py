@@ -270,13 +270,17 @@ def new_domains(spark, sf):
 # ---- streams
 
 
+def _streamed(spark, sf, name, *columns):
+    """A table as a stream, be it one file or a folder of files."""
+    # Spark takes no file as a stream's path, but a pattern; this one has one match, and a folder that matches is listed.
+    return spark.readStream.schema(table(spark, sf, name).select(*columns or "*").schema).parquet(f"{sf}/{name}.parque[t]")
+
+
 @query(f"SELECT canonical FROM ({CANONICAL}) GROUP BY canonical")
 def stream_first_seen(spark, sf):
     """Pages as a stream, deduplicated across its batches and drained."""
-    schema = table(spark, sf, "pages").select("page_id", "url").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf)
     folder = _folder(spark)
-    incremental.drain(incremental.first_seen(stream), f"{folder}/out", f"{folder}/state")
+    incremental.drain(incremental.first_seen(_streamed(spark, sf, "pages", "page_id", "url")), f"{folder}/out", f"{folder}/state")
     return spark.read.parquet(f"{folder}/out").select("canonical")
 
 
@@ -284,8 +288,7 @@ def stream_first_seen(spark, sf):
  SELECT event_id, CAST(max(at_ms - 60000 * k) OVER (PARTITION BY user_id ORDER BY at_ms, event_id ROWS UNBOUNDED PRECEDING) + 60000 * k AS BIGINT) AS start_ms FROM n""")
 def stream_throttled(spark, sf):
     """Events as a stream, each user's at least a minute apart, the last start kept as state."""
-    stream = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    keyed = stream.select("user_id", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"))
+    keyed = _streamed(spark, sf, "events").select("user_id", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("at_ms"))
     folder = _folder(spark)
     incremental.drain(incremental.throttled(keyed, "user_id", "at_ms", "event_id", 60_000), f"{folder}/out", f"{folder}/state")
     return spark.read.parquet(f"{folder}/out").select("event_id", "start_ms")
